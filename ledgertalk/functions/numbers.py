@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sums of doubles change with the order in which partitions arrive; decimals do not.
-MONEY = "decimal(28,4)"
+# Sums of doubles change with the order in which partitions arrive, so prices are summed
+# as whole ten-thousandths. Values too large for a bigint of those take the slow cast.
+PLACES = 10000
+FITS_BIGINT = 9.0e14
+UNITS = "decimal(38,0)"
+
+
+def units(value: Column) -> Column:
+    return F.when(F.abs(value) < FITS_BIGINT, F.floor(value * PLACES + 0.5).cast(UNITS)).otherwise(
+        (value * PLACES).cast(UNITS)
+    )
 
 
 def exact_sum(value: Column) -> Column:
-    return F.sum(value.cast(MONEY)).cast("double")
+    return F.sum(units(value)).cast("double") / PLACES
 
 
 def exact_mean(value: Column) -> Column:

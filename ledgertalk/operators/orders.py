@@ -24,34 +24,35 @@ def item_text() -> Column:
 
 
 def order_base(lines: DataFrame, recipe: Recipe, chosen: DataFrame | None = None) -> DataFrame:
-    """First items, total, distinct products and first date of every order.
+    """First items, total, distinct products and, in profile s, first date of every order.
 
     Orders are keyed by one struct, which is never NULL even where Country is, so the
     two aggregates below join on the partitioning they already have. ``chosen`` limits
     the work to those keys before anything is shuffled.
     """
-    facts = lines.select(
-        F.struct(*ORDER_KEY).alias("order_id"),
-        "StockCode",
-        item_text().alias("item"),
-        "LineTotal",
-        "InvoiceDate",
-    )
+    facts = lines.withColumn("order_id", F.struct(*ORDER_KEY))
     if chosen is not None:
         wanted = chosen.select(F.struct(*ORDER_KEY).alias("order_id"))
         facts = facts.join(wanted, "order_id", "left_semi")
-    totals = facts.groupBy("order_id").agg(
+    measures = [
         exact_sum(F.col("LineTotal")).alias("order_total"),
         F.countDistinct("StockCode").alias("unique_items"),
-        F.min("InvoiceDate").alias("invoice_date"),
-    )
+    ]
+    if recipe.profile == "s":
+        measures.append(F.min("InvoiceDate").alias("invoice_date"))
+    totals = facts.groupBy("order_id").agg(*measures)
     items = first_values(
-        facts, "order_id", ["StockCode", "item"], "item", recipe.items_per_order, "items"
+        facts.select("order_id", "StockCode", "ProductName", "Quantity", "UnitPrice"),
+        "order_id",
+        ["StockCode", "Quantity", "UnitPrice"],
+        item_text(),
+        recipe.items_per_order,
+        "items",
     )
     return (
         totals.join(items, "order_id")
         .filter(F.col("unique_items") > 0)
-        .select("order_id.*", "items", "order_total", "unique_items", "invoice_date")
+        .select("order_id.*", "items", *totals.columns[1:])
     )
 
 
@@ -88,7 +89,12 @@ def cancellation_base(
         facts = facts.join(chosen.select("InvoiceNo"), "InvoiceNo", "left_semi")
     totals = facts.groupBy("InvoiceNo").agg(F.sum("Quantity").alias("net_quantity"))
     items = first_values(
-        facts, "InvoiceNo", ["Description"], "Description", recipe.items_per_cancellation, "items"
+        facts.select("InvoiceNo", "Description"),
+        "InvoiceNo",
+        ["Description"],
+        F.col("Description"),
+        recipe.items_per_cancellation,
+        "items",
     )
     return totals.join(items, "InvoiceNo").select("InvoiceNo", "items", "net_quantity")
 

@@ -178,13 +178,14 @@ def stages(profile: str) -> list[str]:
         "product_ranking AS (SELECT * FROM product_stats "
         f"ORDER BY order_count DESC, StockCode LIMIT {r.max_products})",
         "item_rows AS (SELECT *, row_number() OVER (PARTITION BY InvoiceNo, Country "
-        "ORDER BY StockCode, item) AS rn FROM (SELECT *, ProductName || ' x' || "
+        "ORDER BY StockCode, Quantity, UnitPrice) AS rn FROM (SELECT *, ProductName || ' x' || "
         f"CAST(Quantity AS VARCHAR) || ' at £' || {MONEY.format('UnitPrice')} AS item FROM lines))",
         "order_base AS (SELECT InvoiceNo, Country, "
         f"string_agg(item, '; ' ORDER BY rn) FILTER (WHERE rn <= {r.items_per_order}) AS items, "
         f"{total('LineTotal')} AS order_total, "
-        "CAST(count(DISTINCT StockCode) AS BIGINT) AS unique_items, "
-        "min(InvoiceDate) AS invoice_date FROM item_rows GROUP BY InvoiceNo, Country)",
+        "CAST(count(DISTINCT StockCode) AS BIGINT) AS unique_items"
+        + (", min(InvoiceDate) AS invoice_date " if s else " ")
+        + "FROM item_rows GROUP BY InvoiceNo, Country)",
         "order_sample AS (SELECT * FROM order_base ORDER BY "
         f"{hash_key('InvoiceNo, Country', r.order_seed)}, InvoiceNo, Country LIMIT {r.max_orders})",
         f"cancel_items AS ({unlabelled})",

@@ -6,7 +6,7 @@ Results are flat: arrays come back as joined text, messages as JSON.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from ledgertalk.config import Recipe
 from ledgertalk.functions.text import messages_json
 from ledgertalk.operators import baskets as bk
 from ledgertalk.operators import catalog, clean, examples, orders, quality, report, trainprep
+from ledgertalk.plans.stages import Kept, all_examples
 from ledgertalk.sources import testdata, tables
 from ledgertalk.sources.scratch import scratch_path, stored
 from ledgertalk.sources.sinks import write_csv, write_lines
@@ -30,60 +31,59 @@ PACK_SHARDS = 4
 
 
 class Feed:
-    """Lazily composed stages over one input directory; each property is a DataFrame."""
+    """Stages over one input directory, each built at most once per query.
+
+    The lazy stages form one plan. Queries that read several stages more than once go
+    through ``kept``, whose tables are written once and read back.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "n"):
         self.spark, self.sf_dir, self.profile = spark, sf_dir, profile
         self.recipe = RECIPES[profile]
 
-    @property
+    @cached_property
     def txn(self) -> DataFrame:
         return clean.normalize(testdata.transactions(self.spark, self.sf_dir), self.profile)
 
-    @property
+    @cached_property
     def purchases(self) -> DataFrame:
         return clean.purchases(self.txn, self.profile)
 
-    @property
+    @cached_property
     def cancellations(self) -> DataFrame:
         return clean.cancellations(self.txn)
 
-    @property
+    @cached_property
     def lines(self) -> DataFrame:
         return catalog.line_items(self.purchases)
 
-    @property
+    @cached_property
+    def kept(self) -> Kept:
+        return Kept(self.txn, self.profile)
+
+    @cached_property
     def baskets(self) -> DataFrame:
         return bk.baskets(self.lines, self.recipe.basket_cap)
 
-    @property
+    @cached_property
     def stats(self) -> DataFrame:
         return catalog.product_stats(self.lines)
 
-    @property
+    @cached_property
     def recs(self) -> DataFrame:
         return bk.top_recs(bk.pair_counts(bk.directed_pairs(self.baskets)), self.recipe)
 
+    @cached_property
     def examples(self) -> DataFrame:
-        """All four kinds at their sample sizes. The line items feed three of them, so
-        they are written once and read back with only the columns each kind needs."""
-        lines = stored(self.lines, "line_items")
-        basket_rows = bk.baskets(lines, self.recipe.basket_cap)
-        stats = catalog.most_ordered(catalog.product_stats(lines), self.recipe.max_products)
-        return examples.combine(
-            examples.product_examples(stats, self.profile),
-            examples.order_examples(orders.order_sample(lines, self.recipe), self.profile),
-            examples.rec_examples(bk.rec_sample(basket_rows, self.recipe), self.profile),
-            examples.cancel_examples(
-                orders.cancellation_sample(self.cancellations, self.recipe), self.profile
-            ),
-        )
+        return all_examples(self.kept, self.recipe)
 
+    @cached_property
     def split_examples(self) -> DataFrame:
-        return report.with_split(self.examples(), self.recipe)
+        return report.with_split(self.examples, self.recipe)
 
+    @cached_property
     def lengths(self) -> DataFrame:
-        return report.token_lengths(self.split_examples(), self.profile)
+        return report.token_lengths(self.split_examples, self.profile)
 
 
 def joined(df: DataFrame, column: str, separator: str) -> DataFrame:
@@ -99,7 +99,8 @@ def as_json(df: DataFrame) -> DataFrame:
 
 
 def flat_orders(df: DataFrame) -> DataFrame:
-    return dated(joined(df, "items", "; "), "invoice_date")
+    flat = joined(df, "items", "; ")
+    return dated(flat, "invoice_date") if "invoice_date" in df.columns else flat
 
 
 def flat_cancellations(df: DataFrame) -> DataFrame:
@@ -124,17 +125,19 @@ def stage_queries() -> dict[str, StageQuery]:
         "product_ranking": lambda f: catalog.most_ordered(f.stats, f.recipe.max_products),
         "order_base": lambda f: flat_orders(orders.order_base(f.lines, f.recipe)),
         "order_sample": lambda f: flat_orders(
-            orders.order_sample(stored(f.lines, "line_items"), f.recipe)
+            orders.order_sample(f.kept.lines, f.recipe)
         ),
         "cancellation_base": lambda f: flat_cancellations(
             orders.cancellation_base(f.cancellations, f.recipe)
         ),
         "cancel_sample": lambda f: flat_cancellations(
-            orders.cancellation_sample(f.cancellations, f.recipe)
+            orders.cancellation_sample(f.kept.cancellations, f.recipe)
         ),
         "basket_items": lambda f: bk.basket_items(f.baskets),
         "top_recs": lambda f: flat_recs(f.recs),
-        "rec_sample": lambda f: flat_recs(bk.rec_sample(stored(f.baskets, "baskets"), f.recipe)),
+        "rec_sample": lambda f: flat_recs(
+            bk.rec_sample(stored(f.baskets, "baskets"), f.recipe)
+        ),
         "ex_product": lambda f: as_json(examples.product_examples(f.stats, f.profile)),
         "ex_order": lambda f: as_json(
             examples.order_examples(orders.order_base(f.lines, f.recipe), f.profile)
@@ -145,10 +148,10 @@ def stage_queries() -> dict[str, StageQuery]:
                 orders.cancellation_base(f.cancellations, f.recipe), f.profile
             )
         ),
-        "sft_examples": lambda f: f.examples(),
-        "train_eval_split": lambda f: f.split_examples(),
-        "token_lengths": lambda f: f.lengths().select("example_type", "approx_tokens"),
-        "split_counts": lambda f: report.split_counts(f.split_examples()),
+        "sft_examples": lambda f: f.examples,
+        "train_eval_split": lambda f: f.split_examples,
+        "token_lengths": lambda f: f.lengths.select("example_type", "approx_tokens"),
+        "split_counts": lambda f: report.split_counts(f.split_examples),
     }
 
 
@@ -168,22 +171,22 @@ def n_queries() -> dict[str, StageQuery]:
             "StockCode", "ProductName", "order_count"
         ),
         "cleaning_summary": lambda f: report.summary(
-            f.txn, f.purchases, "n", f.split_examples()
+            f.kept.txn, f.kept.purchases, "n", f.split_examples
         ),
-        "split_pivot": lambda f: report.split_pivot(report.split_counts(f.split_examples())),
-        "token_describe": lambda f: report.token_describe(f.lengths()),
-        "token_hist50": lambda f: report.token_hist50(f.lengths()),
+        "split_pivot": lambda f: report.split_pivot(report.split_counts(f.split_examples)),
+        "token_describe": lambda f: report.token_describe(f.lengths),
+        "token_hist50": lambda f: report.token_hist50(f.lengths),
         "csv_roundtrip": csv_roundtrip,
     }
 
 
 def s_queries() -> dict[str, StageQuery]:
     return {
-        "cleaning_summary_s": lambda f: report.summary(f.txn, f.purchases, "s"),
-        "token_summary": lambda f: report.token_summary(f.lengths()),
-        "token_hist": lambda f: report.token_hist(f.lengths()),
+        "cleaning_summary_s": lambda f: report.summary(f.kept.txn, f.kept.purchases, "s"),
+        "token_summary": lambda f: report.token_summary(f.lengths),
+        "token_hist": lambda f: report.token_hist(f.lengths),
         "top_products": lambda f: money_as_text(report.top_products(f.stats)),
-        "sample_preview": lambda f: report.preview(f.examples(), f.recipe),
+        "sample_preview": lambda f: report.preview(f.examples, f.recipe),
     }
 
 
