@@ -21,8 +21,8 @@ class Kept:
     - ``lines`` feeds products, orders and baskets with only the columns each needs.
     """
 
-    def __init__(self, txn: DataFrame, profile: str):
-        self._raw, self._profile = txn, profile
+    def __init__(self, txn: DataFrame, profile: str, lines_path: str | None = None):
+        self._raw, self._profile, self._lines_path = txn, profile, lines_path
 
     @cached_property
     def txn(self) -> DataFrame:
@@ -42,11 +42,12 @@ class Kept:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return stored(catalog.line_items(self.purchases, self.names), "line_items")
+        lines = catalog.line_items(self.purchases, self.names)
+        return stored(lines, "line_items", self._lines_path)
 
-
-def ranked_products(kept: Kept, recipe: Recipe) -> DataFrame:
-    return catalog.most_ordered(catalog.product_stats(kept.lines), recipe.max_products)
+    def ranked_products(self, recipe: Recipe) -> DataFrame:
+        ranked = catalog.most_ordered(catalog.product_stats(self.lines), recipe.max_products)
+        return stored(ranked, "ranked_products")
 
 
 def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None) -> DataFrame:
@@ -57,7 +58,7 @@ def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None)
     """
     profile = recipe.profile
     if products is None:
-        products = ranked_products(kept, recipe)
+        products = kept.ranked_products(recipe)
     basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap), "baskets")
     return examples.combine(
         examples.product_examples(products, profile),

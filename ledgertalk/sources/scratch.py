@@ -25,9 +25,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/ledgertalk/{uuid.uuid4().hex}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write once, read back: consumers share one computation, prune columns from
-    parquet, and a lost executor re-reads a file instead of replaying the lineage."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    parquet, and a lost executor re-reads a file instead of replaying the lineage.
+
+    Without ``path`` the table goes to the shared scratch folder.
+    """
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
