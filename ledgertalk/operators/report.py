@@ -131,28 +131,38 @@ def token_describe(lengths: DataFrame) -> DataFrame:
 
 
 def token_hist50(lengths: DataFrame, bins: int = 50) -> DataFrame:
-    """Equal-width bins over [min, max], the last one closed; empty bins are listed."""
-    counted = lengths.groupBy("approx_tokens").agg(rows().alias("n"))
-    span = counted.agg(F.min("approx_tokens").alias("low"), F.max("approx_tokens").alias("high"))
-    edges = span.select(F.struct("low", "high")).scalar()
-    low, high = edges.getField("low"), edges.getField("high")
-    place = F.floor((F.col("approx_tokens") - low) * bins / (high - low))
-    binned = (
-        counted.withColumn(
-            "bin",
-            F.when(high == low, F.lit(bins // 2)).otherwise(F.least(place, F.lit(bins - 1))),
+    """Equal-width bins over [min, max], the last one closed; empty bins are listed.
+
+    The (length, count) table is gathered into one row, whose size is the number of
+    distinct lengths, and cut into bins there.
+    """
+    gathered = (
+        lengths.groupBy("approx_tokens")
+        .agg(rows().alias("n"))
+        .agg(
+            F.min("approx_tokens").alias("low"),
+            F.max("approx_tokens").alias("high"),
+            F.collect_list(F.struct("approx_tokens", "n")).alias("counted"),
         )
-        .groupBy(F.col("bin").cast("int").alias("bin"))
-        .agg(F.sum("n").alias("n"))
-    )
-    spine = span.filter("low IS NOT NULL").select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "low", "high"
-    )
-    return spine.join(binned, "bin", "left").select(
-        "bin",
-        (F.col("low") + F.col("bin") * (F.col("high") - F.col("low")) / bins).alias("bin_start"),
-        F.coalesce("n", F.lit(0)).alias("count"),
+        .filter(F.col("low").isNotNull())
     )
+    low, high = F.col("low"), F.col("high")
+
+    def place(entry: Column) -> Column:
+        inside = F.floor((entry["approx_tokens"] - low) * bins / (high - low))
+        return F.when(low == high, bins // 2).otherwise(F.least(inside, F.lit(bins - 1)))
+
+    def in_bin(number: Column) -> Column:
+        return F.aggregate(
+            F.filter("counted", lambda entry: place(entry) == number),
+            F.lit(0).cast("bigint"),
+            lambda total, entry: total + entry["n"],
+        )
+
+    numbers = F.sequence(F.lit(0), F.lit(bins - 1))
+    return gathered.select(
+        "low", "high", F.posexplode(F.transform(numbers, in_bin)).alias("bin", "count")
+    ).select("bin", (low + F.col("bin") * (high - low) / bins).alias("bin_start"), "count")
 
 
 def country_counts(lines: DataFrame) -> DataFrame:

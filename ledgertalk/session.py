@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark itself checks a side against this size before it broadcasts.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Recording the Python call site of every column expression triples the time to build a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
