@@ -21,9 +21,11 @@ def sample(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
     """At most ``n`` rows, chosen by key hash. ``keys`` must identify a row.
 
     Plans as TakeOrderedAndProject: every task keeps its own best ``n`` rows, so
-    only ``n`` rows per task travel.
+    only ``n`` rows per task travel. The hash is a column because an expression in the
+    sort order would be computed again for every comparison.
     """
-    return df.orderBy(order_hash(keys, seed), *keys).limit(n)
+    hashed = df.withColumn("order_hash", order_hash(keys, seed))
+    return hashed.orderBy("order_hash", *keys).limit(n).drop("order_hash")
 
 
 def train_or_eval(text: Column, ratio: float, seed: int) -> Column:

@@ -135,9 +135,7 @@ def stage_queries() -> dict[str, StageQuery]:
         ),
         "basket_items": lambda f: bk.basket_items(f.baskets),
         "top_recs": lambda f: flat_recs(f.recs),
-        "rec_sample": lambda f: flat_recs(
-            bk.rec_sample(stored(f.baskets, "baskets"), f.recipe)
-        ),
+        "rec_sample": lambda f: flat_recs(bk.rec_sample(f.baskets, f.recipe)),
         "ex_product": lambda f: as_json(examples.product_examples(f.stats, f.profile)),
         "ex_order": lambda f: as_json(
             examples.order_examples(orders.order_base(f.lines, f.recipe), f.profile)
