@@ -14,18 +14,22 @@ def basket_sizes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("InvoiceNo").agg(F.countDistinct("StockCode").alias("basket_size"))
 
 
-def baskets(lines: DataFrame, cap: int) -> DataFrame:
+def baskets(lines: DataFrame, cap: int, names: DataFrame | None = None) -> DataFrame:
     """``InvoiceNo, items``: distinct products, sorted by code, of invoices with at most ``cap``.
 
+    Given ``names``, repeated lines are dropped by code before the names are joined.
+
     ``cap + 1`` products are enough to see that an invoice is over the cap, so each
     task passes on no more than that and no group grows beyond it. An oversized invoice
     is dropped whole and a kept one is complete: the result equals counting first.
     """
     by_code = Window.partitionBy("InvoiceNo").orderBy("StockCode")
+    if names is None:
+        products = lines.select("InvoiceNo", "StockCode", "ProductName").distinct()
+    else:
+        products = lines.select("InvoiceNo", "StockCode").distinct().join(names, "StockCode")
     return (
-        lines.select("InvoiceNo", "StockCode", "ProductName")
-        .distinct()
-        .withColumn("place", F.row_number().over(by_code))
+        products.withColumn("place", F.row_number().over(by_code))
         .filter(F.col("place") <= cap + 1)
         .groupBy("InvoiceNo")
         .agg(F.sort_array(F.collect_list(F.struct("StockCode", "ProductName"))).alias("items"))

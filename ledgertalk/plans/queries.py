@@ -16,6 +16,7 @@ from ledgertalk.functions.text import messages_json
 from ledgertalk.operators import baskets as bk
 from ledgertalk.operators import catalog, clean, examples, orders, quality, report, trainprep
 from ledgertalk.plans.stages import Kept, all_examples
+from ledgertalk.session import tuned
 from ledgertalk.sources import testdata, tables
 from ledgertalk.sources.scratch import scratch_path, stored
 from ledgertalk.sources.sinks import write_csv, write_lines
@@ -53,9 +54,13 @@ class Feed:
     def cancellations(self) -> DataFrame:
         return clean.cancellations(self.txn)
 
+    @cached_property
+    def names(self) -> DataFrame:
+        return catalog.product_names(self.purchases)
+
     @cached_property
     def lines(self) -> DataFrame:
-        return catalog.line_items(self.purchases)
+        return catalog.line_items(self.purchases, self.names)
 
     @cached_property
     def kept(self) -> Kept:
@@ -63,11 +68,11 @@ class Feed:
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return bk.baskets(self.lines, self.recipe.basket_cap)
+        return bk.baskets(self.purchases, self.recipe.basket_cap, self.names)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return catalog.product_stats(self.lines)
+        return catalog.product_stats(self.purchases, self.names)
 
     @cached_property
     def recs(self) -> DataFrame:
@@ -158,13 +163,13 @@ def n_queries() -> dict[str, StageQuery]:
         "cancellations": lambda f: f.cancellations,
         "txn_class_counts": lambda f: clean.class_counts(f.txn),
         "description_counts": lambda f: catalog.description_counts(f.purchases),
-        "product_names": lambda f: catalog.product_names(f.purchases),
-        "basket_sizes": lambda f: bk.basket_sizes(f.lines),
+        "product_names": lambda f: f.names,
+        "basket_sizes": lambda f: bk.basket_sizes(f.purchases),
         "copurchase_pairs": lambda f: bk.copurchase_pairs(f.baskets),
         "directed_pairs": lambda f: bk.directed_pairs(f.baskets),
         "pair_counts": lambda f: bk.pair_counts(bk.directed_pairs(f.baskets)),
-        "country_counts": lambda f: report.country_counts(f.lines),
-        "top_countries": lambda f: report.top_countries(report.country_counts(f.lines)),
+        "country_counts": lambda f: report.country_counts(f.purchases),
+        "top_countries": lambda f: report.top_countries(report.country_counts(f.purchases)),
         "top15_products": lambda f: catalog.most_ordered(f.stats, 15).select(
             "StockCode", "ProductName", "order_count"
         ),
@@ -259,7 +264,8 @@ def other_queries() -> dict[str, Query]:
 
 
 def _on_feed(stage: StageQuery, profile: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(Feed(spark, sf_dir, profile))
+    # The session is the caller's; what these plans need against hot keys is set on it.
+    return stage(Feed(tuned(spark), sf_dir, profile))
 
 
 def all_queries() -> dict[str, Query]:

@@ -46,7 +46,7 @@ class Kept:
         return stored(lines, "line_items", self._lines_path)
 
     def ranked_products(self, recipe: Recipe) -> DataFrame:
-        ranked = catalog.most_ordered(catalog.product_stats(self.lines), recipe.max_products)
+        ranked = catalog.most_ordered(catalog.product_stats(self.lines, self.names), recipe.max_products)
         return stored(ranked, "ranked_products")
 
 
@@ -59,7 +59,7 @@ def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None)
     profile = recipe.profile
     if products is None:
         products = kept.ranked_products(recipe)
-    basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap), "baskets")
+    basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap, kept.names), "baskets")
     return examples.combine(
         examples.product_examples(products, profile),
         examples.order_examples(orders.order_sample(kept.lines, recipe), profile),
