@@ -28,11 +28,11 @@ def product_names(bought: DataFrame) -> DataFrame:
 
 
 def line_items(bought: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """Purchases under their canonical name. Spark broadcasts the names when they are
-    small and otherwise sort-merges, splitting hot codes at run time.
+    """Purchases under their canonical name.
 
-    Names that were stored first have a known size, so that choice is made before any
-    purchase is shuffled by code.
+    ``names`` should be a stored table. Its size is then known: small, it is broadcast and
+    no purchase is shuffled by code; large, both sides of the merge join come straight
+    from a shuffle, which is the shape in which Spark splits hot codes at run time.
     """
     return (
         bought.drop("Description")

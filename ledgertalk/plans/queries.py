@@ -34,8 +34,8 @@ PACK_SHARDS = 4
 class Feed:
     """Stages over one input directory, each built at most once per query.
 
-    The lazy stages form one plan. Queries that read several stages more than once go
-    through ``kept``, whose tables are written once and read back.
+    ``txn``, ``purchases`` and ``cancellations`` are lazy. What needs product names starts
+    from the stored ``bought`` and ``names``; what needs every stage goes through ``kept``.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, profile: str = "n"):
@@ -54,13 +54,19 @@ class Feed:
     def cancellations(self) -> DataFrame:
         return clean.cancellations(self.txn)
 
+    @cached_property
+    def bought(self) -> DataFrame:
+        return stored(self.purchases, "purchases")
+
     @cached_property
     def names(self) -> DataFrame:
-        return catalog.product_names(self.purchases)
+        """Read back from a file, so that its size is known when the join is planned and,
+        if it is too large to broadcast, the hot codes of the other side can be split."""
+        return stored(catalog.product_names(self.bought), "product_names")
 
     @cached_property
     def lines(self) -> DataFrame:
-        return catalog.line_items(self.purchases, self.names)
+        return catalog.line_items(self.bought, self.names)
 
     @cached_property
     def kept(self) -> Kept:
@@ -68,11 +74,11 @@ class Feed:
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return bk.baskets(self.purchases, self.recipe.basket_cap, self.names)
+        return bk.baskets(self.bought, self.recipe.basket_cap, self.names)
 
     @cached_property
     def stats(self) -> DataFrame:
-        return catalog.product_stats(self.purchases, self.names)
+        return catalog.product_stats(self.bought, self.names)
 
     @cached_property
     def recs(self) -> DataFrame:
@@ -163,7 +169,7 @@ def n_queries() -> dict[str, StageQuery]:
         "cancellations": lambda f: f.cancellations,
         "txn_class_counts": lambda f: clean.class_counts(f.txn),
         "description_counts": lambda f: catalog.description_counts(f.purchases),
-        "product_names": lambda f: f.names,
+        "product_names": lambda f: catalog.product_names(f.purchases),
         "basket_sizes": lambda f: bk.basket_sizes(f.purchases),
         "copurchase_pairs": lambda f: bk.copurchase_pairs(f.baskets),
         "directed_pairs": lambda f: bk.directed_pairs(f.baskets),
