@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,17 +17,40 @@ def order_hash(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("#", *keys, F.lit(seed)))
 
 
+# Up to this size every task may pass on its own best n rows.
+SMALL_SAMPLE = 1000
+PREFIX_DIGITS = 4
+
+
 def sample(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
     """At most ``n`` rows, chosen by key hash. ``keys`` must identify a row.
 
-    Plans as TakeOrderedAndProject: every task keeps its own best ``n`` rows, so
-    only ``n`` rows per task travel. The hash is a column because an expression in the
-    sort order would be computed again for every comparison.
+    The final top-n is one task that merges ``n`` rows from every task before it. For a
+    larger ``n``, rows are first cut at the hash prefix below which ``n`` rows lie: about
+    ``n`` rows remain in all, and the cut runs right after the scan.
     """
+    # A column, because an expression in the sort order is computed again per comparison.
     hashed = df.withColumn("order_hash", order_hash(keys, seed))
+    if n > SMALL_SAMPLE:
+        hashed = hashed.filter(_prefix() <= _last_prefix(hashed, n))
     return hashed.orderBy("order_hash", *keys).limit(n).drop("order_hash")
 
 
+def _prefix() -> Column:
+    return F.substring("order_hash", 1, PREFIX_DIGITS)
+
+
+def _last_prefix(hashed: DataFrame, n: int) -> Column:
+    """Smallest prefix up to which at least ``n`` rows lie, else the largest possible one.
+
+    The window has no partition: it runs over one count per prefix, 16 ** PREFIX_DIGITS rows.
+    """
+    counts = hashed.groupBy(_prefix().alias("prefix")).agg(F.count(F.lit(1)).alias("rows"))
+    reached = counts.select("prefix", F.sum("rows").over(Window.orderBy("prefix")).alias("upto"))
+    enough = reached.filter(F.col("upto") >= n).agg(F.min("prefix").alias("prefix"))
+    return enough.select(F.coalesce("prefix", F.lit("f" * PREFIX_DIGITS))).scalar()
+
+
 def train_or_eval(text: Column, ratio: float, seed: int) -> Column:
     digest = F.md5(F.concat_ws("#", text, F.lit(seed)))
     bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10000
