@@ -59,10 +59,16 @@ def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None)
     profile = recipe.profile
     if products is None:
         products = kept.ranked_products(recipe)
+    order_keys = stored(orders.sampled_order_keys(kept.lines, recipe), "order_keys")
+    cancel_keys = stored(
+        orders.sampled_cancellation_keys(kept.cancellations, recipe), "cancellation_keys"
+    )
     basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap, kept.names), "baskets")
     return examples.combine(
         examples.product_examples(products, profile),
-        examples.order_examples(orders.order_sample(kept.lines, recipe), profile),
+        examples.order_examples(orders.order_base(kept.lines, recipe, order_keys), profile),
         examples.rec_examples(bk.rec_sample(basket_rows, recipe), profile),
-        examples.cancel_examples(orders.cancellation_sample(kept.cancellations, recipe), profile),
+        examples.cancel_examples(
+            orders.cancellation_base(kept.cancellations, recipe, cancel_keys), profile
+        ),
     )

@@ -1,3 +1,5 @@
+import hashlib
+
 from pyspark.sql import functions as F
 
 from ledgertalk.functions.hashing import sample, train_or_eval
@@ -24,3 +26,19 @@ def test_split_is_a_property_of_the_text(spark):
     assert 0.88 < share < 0.92
     every = texts.select(train_or_eval(F.col("t"), 1.0, 42).alias("s")).distinct().collect()
     assert [r.s for r in every] == ["train"]
+
+
+def test_large_sample_equals_sorting_everything(spark):
+    for size, n in ((30000, 2500), (1500, 2500), (2500, 2500), (0, 2500)):
+        df = spark.range(size).select(F.col("id").cast("string").alias("k"))
+        chosen = {r.k for r in sample(df, ["k"], n, 7).collect()}
+        digests = sorted((hashlib.md5(f"{k}#7".encode()).hexdigest(), str(k)) for k in range(size))
+        assert chosen == {k for _, k in digests[:n]}
+
+
+def test_large_sample_is_cut_before_the_final_merge(spark):
+    df = spark.range(30000).select(F.col("id").cast("string").alias("k"))
+    plan = sample(df, ["k"], 2500, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan
+    small = sample(df, ["k"], 50, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" not in small
