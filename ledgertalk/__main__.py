@@ -8,6 +8,7 @@ import sys
 from ledgertalk.config import PROFILES, Recipe
 from ledgertalk.plans import job
 from ledgertalk.session import session
+from ledgertalk.sources.scratch import discard_scratch
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -24,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--max_items_per_basket", "--max_basket_size_for_pairs", dest="basket_cap", type=int
     )
     build.add_argument("--train_ratio", type=float)
+    build.add_argument("--files", type=int, default=1, help="JSONL files per split")
 
     validate = commands.add_parser("validate", help="check JSONL lines")
     validate.add_argument("paths", nargs="+")
@@ -61,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = session(f"ledgertalk-{args.command}")
     try:
         if args.command == "build":
-            job.build(spark, args.input, args.output, recipe_from(args))
+            job.build(spark, args.input, args.output, recipe_from(args), args.files)
         elif args.command == "prepare":
             job.prepare(
                 spark, args.train, args.validation, args.output, args.max_seq_length, args.seed
@@ -70,6 +72,7 @@ def main(argv: list[str] | None = None) -> int:
             job.figures(spark, args.stats, args.output)
         else:
             return validate(spark, args.paths, args.max_check)
+        discard_scratch(spark)
     finally:
         spark.stop()
     return 0

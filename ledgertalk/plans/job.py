@@ -17,11 +17,13 @@ from ledgertalk.sources.tables import read_chat_jsonl, read_csv_parts, read_tran
 SUBSET = {"train": 60000, "validation": 5000}
 
 
-def build(spark: SparkSession, source: str, target: str, recipe: Recipe) -> DataFrame:
+def build(
+    spark: SparkSession, source: str, target: str, recipe: Recipe, files: int = 1
+) -> DataFrame:
     """Raw CSV to line items, JSONL and statistics under ``target``; returns the examples.
 
     The raw text is parsed once. Every output is derived from stored tables, so all of
-    them describe the same examples.
+    them describe the same examples. ``files`` is the number of JSONL files per split.
     """
     txn = clean.normalize(read_transactions(spark, source), recipe.profile)
     kept = Kept(txn, recipe.profile, f"{target}/clean_purchases_parquet")
@@ -30,7 +32,7 @@ def build(spark: SparkSession, source: str, target: str, recipe: Recipe) -> Data
     rows = examples.require_some(stored(rows, "examples"))
 
     for split in ("train", "eval"):
-        write_lines(rows.filter(F.col("split") == split), f"{target}/{split}_jsonl")
+        write_lines(rows.filter(F.col("split") == split), f"{target}/{split}_jsonl", files=files)
     if recipe.profile == "s":
         _write_eda(kept, rows, products, recipe, target)
     else:

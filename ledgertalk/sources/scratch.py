@@ -21,8 +21,19 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{scratch_root(spark)}/ledgertalk/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/ledgertalk/{uuid.uuid4().hex}/{name}"
+    return f"{scratch_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables once its outputs are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:

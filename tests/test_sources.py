@@ -1,7 +1,12 @@
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from ledgertalk.sources import sinks, tables
-from ledgertalk.sources.scratch import scratch_root, stored
+from ledgertalk.sources.scratch import scratch_folder, stored
 
 HEAD = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 
@@ -73,4 +78,27 @@ def test_metric_rows(spark):
 def test_stored_tables_live_in_the_shared_folder(spark):
     df = stored(spark.range(5), "numbers")
     assert df.count() == 5
-    assert all(scratch_root(spark) in name for name in df.inputFiles())
+    assert all(scratch_folder(spark) in name for name in df.inputFiles())
+
+
+def test_command_line_run_removes_only_its_own_tables(tmp_path):
+    shared = tmp_path / "shared"
+    other = shared / "ledgertalk" / "another-application"
+    other.mkdir(parents=True)
+    rows = "".join(
+        f"{i // 3},P{i % 5},ITEM {i % 5},1,2011-01-01 00:00:00,1.5,7,UK\n" for i in range(60)
+    )
+    (tmp_path / "raw.csv").write_text(HEAD + rows)
+    command = [sys.executable, "-m", "ledgertalk", "build", "--files", "2"]
+    command += ["--input", str(tmp_path / "raw.csv"), "--output", str(tmp_path / "out")]
+    options = {
+        "spark.master": "local[2]",
+        "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": str(shared),
+    }
+    flags = " ".join(f"--conf {name}={value}" for name, value in options.items())
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": f"{flags} pyspark-shell"}
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run(command, check=True, cwd=root, env=env, timeout=300, capture_output=True)
+    assert len(list((tmp_path / "out" / "train_jsonl").glob("part-*"))) == 2
+    assert [p.name for p in (shared / "ledgertalk").iterdir()] == ["another-application"]
