@@ -17,8 +17,9 @@ def order_hash(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("#", *keys, F.lit(seed)))
 
 
-# Up to this size every task may pass on its own best n rows.
-SMALL_SAMPLE = 1000
+# Up to this size every task may pass on its own best n rows: ten thousand tasks then send
+# fifty million short rows to the last one. Counting prefixes costs a second look at the keys.
+SMALL_SAMPLE = 5000
 PREFIX_DIGITS = 4
 
 

@@ -29,7 +29,7 @@ def test_split_is_a_property_of_the_text(spark):
 
 
 def test_large_sample_equals_sorting_everything(spark):
-    for size, n in ((30000, 2500), (1500, 2500), (2500, 2500), (0, 2500)):
+    for size, n in ((30000, 6000), (4000, 6000), (6000, 6000), (0, 6000)):
         df = spark.range(size).select(F.col("id").cast("string").alias("k"))
         chosen = {r.k for r in sample(df, ["k"], n, 7).collect()}
         digests = sorted((hashlib.md5(f"{k}#7".encode()).hexdigest(), str(k)) for k in range(size))
@@ -38,7 +38,7 @@ def test_large_sample_equals_sorting_everything(spark):
 
 def test_large_sample_is_cut_before_the_final_merge(spark):
     df = spark.range(30000).select(F.col("id").cast("string").alias("k"))
-    plan = sample(df, ["k"], 2500, 7)._jdf.queryExecution().optimizedPlan().toString()
+    plan = sample(df, ["k"], 6000, 7)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" in plan
     small = sample(df, ["k"], 50, 7)._jdf.queryExecution().optimizedPlan().toString()
     assert "scalar-subquery" not in small
