@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Fixed value: white space that separates words in all contracts of this package.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -25,3 +26,8 @@ def split_words(text: Column) -> Column:
 def total(array: Column) -> Column:
     """Sum of an array of longs, 0 if it is empty."""
     return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def with_fields(schema: StructType, fields: str) -> StructType:
+    """A schema and further fields, given as ``name type, ...``."""
+    return StructType([*schema.fields, *StructType.fromDDL(fields).fields])

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgertalk.llm.common import with_fields
+
 # HTML's own lists.
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -348,7 +350,7 @@ def main_text(page: str | None) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``page_id, url, html``."""
-    schema = pages.select("page_id", "url").schema.add("text", "string")
+    schema = with_fields(pages.select("page_id", "url").schema, "text string")
 
     def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

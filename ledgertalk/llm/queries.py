@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertalk.llm import html_extract, quality_rules, sharding, url_rules
+from ledgertalk.llm import bpe, html_extract, packing, quality_rules, sharding, url_rules
 from ledgertalk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The vocabulary is installed on every machine; it is a parameter of the operators.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(encoded, TOKENIZER).select(
+        "doc_id",
+        (F.octet_length("ids") / packing.ID_BYTES).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labelled = url_rules.labelled_pages(pages, table(spark, sf_dir, "labels"))
@@ -43,6 +61,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
+        "op2_bpe": op2_bpe,
+        "op4_best_fit_packing": op4_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_sharding": op7_sharding,
         "op10_quality_rules": op10_quality_rules,
