@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertalk.llm import bpe, html_extract, packing, quality_rules, sharding, url_rules
+from ledgertalk.llm import bpe, html_extract, packing, pii, quality_rules, sharding, url_rules
 from ledgertalk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,46 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.spans(docs, pii.fit(docs))
+
+    def written(spans: Column) -> Column:
+        """Spans as text, by start, then kind in the order of the list of kinds."""
+        kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+        ordered = F.sort_array(
+            F.transform(
+                spans,
+                lambda s: F.struct(
+                    s["start"].alias("start"),
+                    F.array_position(kinds, s["kind"]).alias("nth"),
+                    s["end"].alias("end"),
+                    s["kind"].alias("kind"),
+                ),
+            )
+        )
+        return F.array_join(
+            F.transform(
+                ordered,
+                lambda s: F.concat_ws(
+                    ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+                ),
+            ),
+            ",",
+        )
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        written(F.concat("base", "added")).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -65,6 +105,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_sharding": op7_sharding,
+        "op8_pii": op8_pii,
         "op10_quality_rules": op10_quality_rules,
     }
 
