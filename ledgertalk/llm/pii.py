@@ -39,7 +39,7 @@ TRAIN_DOCS = 3000
 CONTEXT = 2
 STEPS, RATE, PENALTY = 150, 0.3, 1e-3
 # Least probability of every token's tag in an added span.
-SURE = 0.98
+SURE = 0.95
 BATCH = 512
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")

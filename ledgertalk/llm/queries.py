@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertalk.llm import bpe, html_extract, packing, pii, quality_rules, sharding, url_rules
+from ledgertalk.llm import (
+    bpe,
+    html_extract,
+    packing,
+    pii,
+    quality_lm,
+    quality_rules,
+    sharding,
+    url_rules,
+)
 from ledgertalk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +40,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_lm.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "lang", "grams", "perplexity", "threshold", "kept")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -102,6 +116,7 @@ def llm_queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_bpe": op2_bpe,
+        "op3_quality_classifier": op3_quality_classifier,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op6_url_filters": op6_url_filters,
         "op7_sharding": op7_sharding,
