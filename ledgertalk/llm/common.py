@@ -28,6 +28,12 @@ def total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
+    """A stored table as the small side of a join: broadcast if it is counted to have at most
+    ``rows`` rows, left to a shuffle join beyond that. The result is the same either way."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def with_fields(schema: StructType, fields: str) -> StructType:
     """A schema and further fields, given as ``name type, ...``."""
     return StructType([*schema.fields, *StructType.fromDDL(fields).fields])

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import with_fields
+from ledgertalk.llm.common import small_or_shuffled, with_fields
 from ledgertalk.sources.scratch import stored
 
 ORDER, BITS = 5, 12
 CODES = 1 << BITS
 BLOCK_DOCS = 8192
 # Quantile of trusted documents' perplexity, and how far beyond it a document may lie.
-QUANTILE, MARGIN = 0.995, 1.25
+QUANTILE, MARGIN = 0.995, 1.4
 # Trusted ids are broadcast up to this number (16 MB), joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 2_000_000
 # Characters, about, counted at once.
@@ -299,9 +299,7 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, lang, text_hash, grams, perplexity, threshold, kept`` for every row."""
     docs = docs.select("doc_id", "lang", "text")
-    ids = stored(trusted_ids(labels), "trusted_ids").select("doc_id")
-    if ids.count() <= MOST_BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = small_or_shuffled(stored(trusted_ids(labels), "trusted_ids"), MOST_BROADCAST_IDS)
     fitted = model(docs.join(ids, "doc_id", "left_semi"))
     found = stored(scored(docs, fitted), "scores")
     good = found.join(ids, "doc_id", "left_semi").filter(F.col("perplexity").isNotNull())
