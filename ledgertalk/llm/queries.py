@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgertalk.llm import (
     bpe,
     html_extract,
+    jaccard,
     packing,
     pii,
     quality_lm,
@@ -108,6 +109,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ def llm_queries() -> dict[str, Query]:
         "op6_url_filters": op6_url_filters,
         "op7_sharding": op7_sharding,
         "op8_pii": op8_pii,
+        "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
     }
 
