@@ -4,11 +4,11 @@ White space never joins two pieces of the vocabulary, so a text's ids are its wo
 after another. Three steps:
 
 1. every task splits its texts into words and returns each distinct word of a block of
-   documents once; the distinct words of all blocks are the word table;
+   documents once; dealt by word, their distinct words are the word table;
 2. each word of that table is encoded once, by the tokenizers library;
 3. blocks get their words' ids by a join on the word (a frequent word comes once a block, not
    once an occurrence), meet their documents again by block, and put ids in place by
-   position.
+   position. Texts travel compressed.
 
 ``decode`` joins each id with its piece, map-side: the id-to-piece table has a fixed size.
 A block is a range of doc_id, so texts in id order share blocks; any ids give right results.
@@ -20,21 +20,29 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ledgertalk.llm.common import with_fields
 
+# Spark runs a task on each core already.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 BLOCK_DOCS = 4096
 # Distinct words that a task holds before it passes them on.
 HELD_WORDS = 200_000
 ENCODED_AT_ONCE = 2_000
+# Words of letters whose ids a worker remembers in each of two generations.
+REMEMBERED = 400_000
 
 
 @lru_cache(maxsize=4)
@@ -49,29 +57,110 @@ def pieces(path: str) -> list[str]:
     return [known.id_to_token(i) or "" for i in range(known.get_vocab_size())]
 
 
+@lru_cache(maxsize=4)
+def _ends_word(path: str) -> np.ndarray:
+    return np.array([piece.endswith("</w>") for piece in pieces(path)])
+
+
 def words_of(text: str | None) -> list[str]:
     """Words between white space as the tokenizer knows it: Python's, but for the four
     separators U+001C to U+001F, which are no white space there."""
     if not text:
         return []
     if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-        for at in " \t\n\v\f\r".replace(" ", ""):
-            text = text.replace(at, " ")
+        for space in "\t\n\v\f\r":
+            text = text.replace(space, " ")
         return [w for w in text.split(" ") if w]
     return text.split()
 
 
-def encoded_words(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as little-endian unsigned 32-bit integers."""
-    found = []
+class Memory:
+    """Ids by text in two generations: what a full one has not met again is forgotten."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Move what is known to the new generation; the rest."""
+        if len(self.new) > self.most:
+            self.old, self.new = self.new, {}
+        unknown = wanted - self.new.keys()
+        met = unknown & self.old.keys()
+        self.new.update((key, self.old[key]) for key in met)
+        return list(unknown - met)
+
+
+_letters: dict[str, Memory] = {}
+
+
+def _ids(found: list[int]) -> bytes:
+    return np.asarray(found, dtype="<u4").tobytes()
+
+
+def _encoded_letters(words: list[str], path: str) -> list[bytes]:
+    """Ids of words that are lower-case letters only, many in one text: each ends with a piece
+    that ends a word, and no other of its pieces does."""
+    found: list[bytes] = []
+    for at in range(0, len(words), ENCODED_AT_ONCE):
+        part = words[at : at + ENCODED_AT_ONCE]
+        ids = np.asarray(
+            tokenizer(path).encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+            dtype="<u4",
+        )
+        ends = np.flatnonzero(_ends_word(path)[ids]) + 1
+        if len(ends) != len(part):
+            found += _encoded_alone(part, path)
+            continue
+        whole = ids.tobytes()
+        starts = [0, *(4 * ends[:-1]).tolist()]
+        found += [whole[a:b] for a, b in zip(starts, (4 * ends).tolist(), strict=True)]
+    return found
+
+
+def _encoded_alone(words: list[str], path: str) -> list[bytes]:
+    found: list[bytes] = []
     for at in range(0, len(words), ENCODED_AT_ONCE):
         part = tokenizer(path).encode_batch_fast(
             words[at : at + ENCODED_AT_ONCE], add_special_tokens=False
         )
-        found += [np.asarray(x.ids, dtype="<u4").tobytes() for x in part]
+        found += [_ids(x.ids) for x in part]
     return found
 
 
+def encoded_words(words: list[str], path: str) -> list[bytes]:
+    """Ids of each word as little-endian unsigned 32-bit integers.
+
+    Most words are letters, and perhaps points or commas behind them. The tokenizer parts
+    these and ignores case, so the letters are encoded once for all such words. A word of any
+    other form goes alone, and so do letters that are not in normal form or whose lower case
+    depends on their place.
+    """
+    split: list[tuple[str, str] | None] = []
+    for word in words:
+        core = word.rstrip(".,")
+        lower = core.lower()
+        plain = core.isalpha() and (
+            core.isascii()
+            or (lower.isalpha() and "\u03a3" not in core and is_normalized("NFC", lower))
+        )
+        split.append((lower, word[len(core) :]) if plain else None)
+    memory = _letters.setdefault(path, Memory(REMEMBERED))
+    parts = {x for pair in split if pair for x in pair if x}
+    unknown = memory.missing(parts)
+    letters = [x for x in unknown if x.isalpha()]
+    memory.new.update(zip(letters, _encoded_letters(letters, path), strict=True))
+    signs = [x for x in unknown if not x.isalpha()]
+    memory.new.update(zip(signs, _encoded_alone(signs, path), strict=True))
+    memory.new[""] = b""
+    others = iter(
+        _encoded_alone([w for w, pair in zip(words, split, strict=True) if pair is None], path)
+    )
+    known = memory.new
+    return [next(others) if pair is None else known[pair[0]] + known[pair[1]] for pair in split]
+
+
 def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, set[str]] = {}
     count = 0
@@ -99,6 +188,20 @@ def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes; null and empty ones as null."""
+    packer = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        packed = [
+            packer.compress(t.encode("utf-8", "surrogatepass")) if t else None for t in texts
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("block"), batch.column("doc_id"), pa.array(packed, pa.binary())],
+            ["block", "doc_id", "packed"],
+        )
+
+
 def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     """``doc_id, ids`` for every row; ids as little-endian unsigned 32-bit integers."""
     blocked = docs.select(
@@ -106,8 +209,11 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
         "doc_id",
         F.col(text_column).alias("text"),
     )
-    in_blocks = blocked.select("block", "text").mapInArrow(
-        _block_words, "block long, word string"
+    # Dealt by word once; both the word table and the join read that.
+    in_blocks = (
+        blocked.select("block", "text")
+        .mapInArrow(_block_words, "block long, word string")
+        .repartition("word")
     )
 
     def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,24 +222,32 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
             ids = encoded_words(words.to_pylist(), path)
             yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.binary())], ["word", "ids"])
 
-    table = in_blocks.select("word").distinct().mapInArrow(with_ids, "word string, ids binary")
+    table = (
+        in_blocks.groupBy("word")
+        .agg(F.min("block").alias("block"))
+        .mapInArrow(with_ids, "word string, ids binary")
+    )
     known = in_blocks.join(table, "word").select("block", "word", "ids")
-    schema = with_fields(docs.select("doc_id").schema, "ids binary")
+    id_schema = docs.select("doc_id").schema
+    rows = blocked.mapInArrow(
+        _packed, with_fields(blocked.select("block", "doc_id").schema, "packed binary")
+    )
+    schema = with_fields(id_schema, "ids binary")
 
     def in_place(rows: pa.Table, words: pa.Table) -> pa.Table:
         ids = dict(
             zip(words.column("word").to_pylist(), words.column("ids").to_pylist(), strict=True)
         )
-        found = [
-            b"".join([ids[w] for w in words_of(text)]) for text in rows.column("text").to_pylist()
-        ]
+        unpacker = zstandard.ZstdDecompressor()
+        found = []
+        for packed in rows.column("packed").to_pylist():
+            text = unpacker.decompress(packed).decode("utf-8", "surrogatepass") if packed else None
+            found.append(b"".join([ids[w] for w in words_of(text)]))
         return pa.table(
             [rows.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "ids"]
         )
 
-    return (
-        blocked.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(in_place, schema)
-    )
+    return rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(in_place, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -14,6 +14,8 @@ Equal sets are one set throughout. Jaccard distance is a metric, which the join
    the bounds of its members' sizes and of what lies behind their positions. Lists are cut
    into blocks by size, and an entry skips the blocks whose sizes rule a link out. Stars that
    meet must do so in as many lists as the overlap of similar sets' prefixes requires.
+   Sets that are little but common shingles would meet by the crowd; such crowds are compared
+   block by block, and no pair of theirs is ever a row.
 3. *Answers from answers.* Of two stars that meet, the leaders are compared. Their distance
    and the members' distances to them decide most member pairs: none can link if the
    leaders are too far apart, none need be looked at if the leaders link. For the rest each
@@ -48,6 +50,8 @@ from ledgertalk.sources.scratch import stored
 COMMON = 32
 # Ids are broadcast up to this number (16 MB), joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 1_000_000
+# Sets of a block, and shingles of two blocks, that a task compares at once.
+BLOCK_SETS, SHINGLES_AT_ONCE = 512, 4096
 REMEMBERED_WORDS = 1_000_000
 
 # Odd multipliers that tell places of a shingle, and seeds of minimum hashes.
@@ -299,27 +303,27 @@ class Join:
             F.coalesce("part", "set_id").alias("part"),
         )
 
-    def meetings(self, stars: DataFrame) -> DataFrame:
-        """Pairs of stars, of two components, that may hold a link."""
+    def index(self, stars: DataFrame) -> DataFrame:
+        """The prefix shingles of all sets, as ``_prefixes`` gives them."""
         regions = self.rows.filter(F.col("region").isNotNull()).select("set_id", "n", "region")
         tokens = _tokens(self.placed(regions, stars))
-        shared = _shared(tokens)
-        common = stored(
-            tokens.join(shared, "token", "left_semi")
-            .select("token", "part")
-            .distinct()
-            .groupBy("token")
-            .count()
-            .filter(F.col("count") > COMMON)
-            .select("token"),
-            "common",
-        )
-        prefixes = stored(self._prefixes(tokens, shared, common), "prefixes")
-        heavy = stored(
-            prefixes.filter(F.col("token").isNull()).select("set_id").distinct(), "heavy"
-        )
-        # Sets made up of common shingles need all of theirs in order.
-        if heavy.limit(1).count():
+        shared = (
+            tokens.groupBy("token")
+            .agg(F.min("part").alias("one"), F.max("part").alias("other"))
+            .filter(F.col("one") != F.col("other"))
+            .select("token")
+        )
+        entries = stored(tokens.join(shared, "token", "left_semi"), "entries")
+        common = stored(_common(entries), "common")
+        whole_ids: DataFrame | None = None
+        while True:
+            prefixes = stored(self._prefixes(entries, common), "prefixes")
+            heavy = prefixes.filter(F.col("token").isNull()).select("set_id").distinct()
+            heavy = stored(heavy, "heavy")
+            if heavy.limit(1).count() == 0:
+                return prefixes
+            # Sets that common shingles leave too few others: all of theirs, in order. These
+            # sets' shingles may be common too, so others may follow; none comes twice.
             whole = self.whole_sets(heavy).join(heavy, "set_id", "left_semi")
             full = (
                 whole.dropDuplicates(["set_id"])
@@ -327,19 +331,32 @@ class Join:
                 .join(self.sets.select("set_id", "n"), "set_id")
                 .select("set_id", "n", "region")
             )
-            full = _tokens(self.placed(stored(full, "full_sets"), stars))
-            tokens = tokens.join(heavy, "set_id", "left_anti").unionByName(full)
-            prefixes = stored(self._prefixes(tokens, _shared(tokens), common), "prefixes")
-        return self._met(prefixes.filter(F.col("token").isNotNull()))
-
-    def _prefixes(self, tokens: DataFrame, shared: DataFrame, common: DataFrame) -> DataFrame:
-        """``token, set_id, n, star, part, at``: prefix shingles that some other component
-        has too, with their place in the global order. A null token marks a set whose known
-        shingles do not tell its prefix."""
+            full = stored(_tokens(self.placed(stored(full, "full_sets"), stars)), "full_tokens")
+            wanted = small_or_shuffled(
+                stored(full.select("token").distinct(), "wanted_tokens"), MOST_BROADCAST_IDS
+            )
+            # Sets known whole have all their entries; none may come from their regions.
+            whole_ids = heavy if whole_ids is None else whole_ids.unionByName(heavy)
+            few = small_or_shuffled(stored(whole_ids, "whole_ids"), MOST_BROADCAST_IDS)
+            in_regions = tokens.join(wanted, "token", "left_semi")
+            in_regions = in_regions.join(few, "set_id", "left_anti")
+            before = entries.join(few, "set_id", "left_anti")
+            kept_whole = entries.filter(F.col("known") == F.col("n")).join(
+                few, "set_id", "left_semi"
+            )
+            entries = stored(
+                before.unionByName(in_regions).distinct().unionByName(kept_whole).unionByName(full),
+                "entries",
+            )
+            common = stored(common.unionByName(_common(full)).distinct(), "common")
+
+    def _prefixes(self, entries: DataFrame, common: DataFrame) -> DataFrame:
+        """``token, late, set_id, n, star, part, at``: prefix shingles that some other component
+        has too, with their place in the global order, and whether they are common ones. A
+        null token marks a set whose known shingles do not tell its prefix."""
         linking = self.linking
         late = common.withColumn("late", F.lit(True))
-        entries = tokens.join(shared, "token", "left_semi").join(late, "token", "left")
-        grouped = entries.groupBy("set_id").agg(
+        grouped = entries.join(late, "token", "left").groupBy("set_id").agg(
             F.min("n").alias("n"),
             F.min("star").alias("star"),
             F.min("part").alias("part"),
@@ -361,6 +378,7 @@ class Join:
                 every_late = flat.field("late").to_numpy(zero_copy_only=False).astype(bool)
                 rows: list[int] = []
                 out: list[int | None] = []
+                lates: list[bool | None] = []
                 places: list[int | None] = []
                 sizes = zip(
                     batch.column("n").to_pylist(), batch.column("known").to_pylist(), strict=True
@@ -372,6 +390,7 @@ class Join:
                     if known < n and known - after < linking.prefix(n):
                         rows.append(i)
                         out.append(None)
+                        lates.append(None)
                         places.append(None)
                         continue
                     place = np.where(
@@ -380,23 +399,30 @@ class Join:
                     use = place < linking.prefix(n)
                     rows += [i] * int(use.sum())
                     out += every_token[part][use].tolist()
+                    lates += every_late[part][use].tolist()
                     places += place[use].tolist()
                 index = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(out, pa.int64()),
+                        pa.array(lates, pa.bool_()),
                         *[batch.column(c).take(index) for c in ("set_id", "n", "star", "part")],
                         pa.array(places, pa.int64()),
                     ],
-                    ["token", "set_id", "n", "star", "part", "at"],
+                    ["token", "late", "set_id", "n", "star", "part", "at"],
                 )
 
         return grouped.mapInArrow(
-            reorder, "token long, set_id long, n long, star long, part long, at long"
+            reorder, "token long, late boolean, set_id long, n long, star long, part long, at long"
         )
 
-    def _met(self, prefixes: DataFrame) -> DataFrame:
-        """``a, b, part_a, part_b``: stars whose entries meet as similar sets' must."""
+    def meetings(self, prefixes: DataFrame) -> DataFrame:
+        """``a, b``: stars, of two components, whose entries meet as similar sets' must.
+
+        Only lists of shingles that few components have. Sets that share a common shingle in
+        their prefixes are left to ``crowded``; two that share none meet in all the lists
+        that the prefix filter counts on.
+        """
         linking = self.linking
         step = log(100 / linking.percent)
 
@@ -404,7 +430,8 @@ class Join:
             return F.floor(F.log(n) / step + 1e-9).cast("int")
 
         entries = stored(
-            prefixes.groupBy("token", "star")
+            prefixes.filter(~F.col("late"))
+            .groupBy("token", "star")
             .agg(
                 F.min("part").alias("part"),
                 F.min("n").alias("least"),
@@ -434,8 +461,6 @@ class Join:
             .filter(F.col("block") == F.greatest(F.col("low_a"), F.col("low_b") - 1))
             .groupBy(F.col("star_a").alias("a"), F.col("star_b").alias("b"))
             .agg(
-                F.min("part_a").alias("part_a"),
-                F.min("part_b").alias("part_b"),
                 F.count("*").alias("lists"),
                 F.max(F.least("behind_a", "behind_b")).alias("behind"),
                 F.min("least_a").alias("least_a"),
@@ -450,18 +475,83 @@ class Join:
             return F.ceil(F.col(n) * linking.percent / F.lit(100))
 
         needed = overlap - F.greatest(own("most_a"), own("most_b")) + 1
-        return stored(
-            met.filter((F.col("lists") >= needed) & (F.col("behind") >= overlap)).select(
-                "a", "b", "part_a", "part_b"
+        enough = (F.col("lists") >= needed) & (F.col("behind") >= overlap)
+        return stored(met.filter(enough).select("a", "b"), "met")
+
+    def crowded(self, prefixes: DataFrame) -> DataFrame:
+        """``a, b``: links among sets that common shingles bring together.
+
+        Such sets come in crowds: sets joined by common shingles in their prefixes. A crowd is
+        cut into blocks by size and hash, pairs of blocks whose sizes allow links are the
+        tasks, and a task gets all overlaps of its two blocks from one product of incidence
+        matrices. Of its links it returns those that still join something, so no pairs of a
+        crowd are ever rows.
+        """
+        linking = self.linking
+        late = prefixes.filter("late").select("set_id", "token", "n", "part")
+        late = stored(late, "late")
+        if late.limit(1).count() == 0:
+            return late.select(F.col("set_id").alias("a"), F.col("set_id").alias("b"))
+        labels = components(late.select(F.col("set_id").alias("a"), F.col("token").alias("b")))
+        sets = late.groupBy("set_id").agg(F.min("n").alias("n"), F.min("part").alias("part"))
+        step = log(100 / linking.percent)
+        sets = stored(
+            sets.join(labels, sets["set_id"] == labels["node"]).select(
+                "set_id",
+                "part",
+                F.col("label").alias("crowd"),
+                F.floor(F.log("n") / step + 1e-9).cast("int").alias("class"),
             ),
-            "met",
+            "crowds",
+        )
+        classes = sets.groupBy("crowd", "class").agg(
+            F.ceil(F.count("*") / F.lit(BLOCK_SETS)).cast("int").alias("blocks")
+        )
+        dealt = sets.join(classes, ["crowd", "class"]).select(
+            "set_id",
+            "part",
+            "crowd",
+            "class",
+            F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int").alias("block"),
         )
+        blocks = classes.select(
+            "crowd", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+        )
+        other = blocks.select(
+            "crowd", F.col("class").alias("other_class"), F.col("block").alias("other_block")
+        )
+        later = (F.col("other_class") == F.col("class") + 1) | (
+            (F.col("other_class") == F.col("class")) & (F.col("other_block") >= F.col("block"))
+        )
+        tasks = blocks.join(other, "crowd").filter(later).withColumn(
+            "task", F.xxhash64("crowd", "class", "block", "other_class", "other_block")
+        )
+        first = tasks.select("crowd", "class", "block", "task", F.lit(0).alias("side"))
+        second = tasks.select(
+            "crowd",
+            F.col("other_class").alias("class"),
+            F.col("other_block").alias("block"),
+            "task",
+            F.lit(1).alias("side"),
+        )
+        whole = self.whole_sets(sets.select("set_id")).dropDuplicates(["set_id"])
+        members = (
+            dealt.join(first.unionByName(second), ["crowd", "class", "block"])
+            .select("task", "side", "set_id", "part")
+            .join(whole, "set_id")
+        )
+        percent = linking.percent
+
+        def compare(table: pa.Table) -> pa.Table:
+            return _block_links(table, percent)
+
+        found = members.groupBy("task").applyInArrow(compare, "a long, b long")
+        return stored(found, "crowd_links")
 
     def links(self, met: DataFrame, stars: DataFrame) -> DataFrame:
         """``a, b``: sets that link across the stars that met, enough of them to connect
         every two components that any link connects."""
         far = self.linking.far + 1e-9
-        met = met.select("a", "b")
         leaders = self.distances(met)
         members = stars.filter(F.col("star") != F.col("set_id"))
         radius = members.groupBy("star").agg(F.max("to_leader").alias("radius"))
@@ -527,7 +617,8 @@ class Join:
     def result(self) -> DataFrame:
         """``doc_id, text_hash, n_shingles, component_id`` for every row."""
         stars = self.stars()
-        across = self.links(self.meetings(stars), stars)
+        prefixes = self.index(stars)
+        across = self.links(self.meetings(prefixes), stars).unionByName(self.crowded(prefixes))
         inside = stars.select(F.col("set_id").alias("a"), F.col("part").alias("b"))
         labels = components(across.unionByName(inside))
         named = self.sets.join(labels, self.sets["set_id"] == labels["node"], "left").select(
@@ -547,6 +638,56 @@ class Join:
         )
 
 
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between two blocks of sets (or within one, if both sides are the same), as many
+    as join what is not joined yet by components or by earlier links."""
+    sides = table.column("side").to_numpy()
+    ids = table.column("set_id").to_numpy()
+    parts = table.column("part").to_numpy()
+    sets = [np.frombuffer(x, np.int64) for x in table.column("shingles").to_pylist()]
+    left = np.flatnonzero(sides == 0)
+    right = np.flatnonzero(sides == 1)
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        sizes = np.array([len(x) for x in sets])
+        flat = [np.concatenate([sets[i] for i in side]) for side in (left, right)]
+        shared = np.intersect1d(flat[0], flat[1])
+        both = np.zeros((len(left), len(right)), dtype=np.float32)
+        rows = [np.repeat(np.arange(len(side)), sizes[side]) for side in (left, right)]
+        places = [np.searchsorted(shared, x) for x in flat]
+        for k in (0, 1):
+            inside = places[k] < len(shared)
+            inside[inside] = shared[places[k][inside]] == flat[k][inside]
+            rows[k], places[k] = rows[k][inside], places[k][inside]
+        for at in range(0, len(shared), SHINGLES_AT_ONCE):
+            width = min(SHINGLES_AT_ONCE, len(shared) - at)
+            one = []
+            for k, side in enumerate((left, right)):
+                here = (places[k] >= at) & (places[k] < at + width)
+                hit = np.zeros((len(side), width), dtype=np.float32)
+                hit[rows[k][here], places[k][here] - at] = 1
+                one.append(hit)
+            both += one[0] @ one[1].T
+        either = sizes[left][:, None] + sizes[right][None] - both
+        links = (100 * both >= percent * either) & (parts[left][:, None] != parts[right][None])
+        joined: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in joined:
+                x = joined[x]
+            return x
+
+        for i, j in np.argwhere(links):
+            a, b = top(int(parts[left[i]])), top(int(parts[right[j]]))
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                found.append((int(ids[left[i]]), int(ids[right[j]])))
+    return pa.table(
+        [pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+        names=["a", "b"],
+    )
+
+
 def _tokens(listed: DataFrame) -> DataFrame:
     """One row for each known shingle of a set, with its place among the set's by hash."""
     return listed.select(
@@ -559,14 +700,10 @@ def _tokens(listed: DataFrame) -> DataFrame:
     )
 
 
-def _shared(tokens: DataFrame) -> DataFrame:
-    """Shingles that more than one component has."""
-    return (
-        tokens.groupBy("token")
-        .agg(F.min("part").alias("one"), F.max("part").alias("other"))
-        .filter(F.col("one") != F.col("other"))
-        .select("token")
-    )
+def _common(tokens: DataFrame) -> DataFrame:
+    """Shingles that more than ``COMMON`` components have."""
+    parts = tokens.select("token", "part").distinct().groupBy("token").count()
+    return parts.filter(F.col("count") > COMMON).select("token")
 
 
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.bpe import encoded_words, words_of
+from ledgertalk.llm.bpe import Memory, encoded_words, words_of
 from ledgertalk.llm.common import with_fields
 from ledgertalk.sources.scratch import stored
 
@@ -35,20 +35,21 @@ END = b"\0\0\0\0"
 ID_BYTES = 4
 # Rows, about, that one task numbers.
 ROWS_A_BLOCK = 50_000
-# Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+# Words whose ids a worker remembers in each of two generations, and texts cut at once.
+REMEMBERED = 150_000
+TEXTS_AT_ONCE = 1024
 
-_remembered: dict[str, bytes] = {}
+_words: dict[str, Memory] = {}
 
 
 def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of whole texts, through a memory of words that is emptied when it grows too large."""
+    """Ids of whole texts, through the worker's memory of words."""
     split = [words_of(text) for text in texts]
-    if len(_remembered) > REMEMBERED:
-        _remembered.clear()
-    new = list({w for words in split for w in words if w not in _remembered})
-    _remembered.update(zip(new, encoded_words(new, path), strict=True))
-    return [b"".join([_remembered[w] for w in words]) for words in split]
+    memory = _words.setdefault(path, Memory(REMEMBERED))
+    unknown = memory.missing(set().union(*split))
+    memory.new.update(zip(unknown, encoded_words(unknown, path), strict=True))
+    known = memory.new
+    return [b"".join([known[w] for w in words]) for words in split]
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, text_column: str = "text") -> DataFrame:
@@ -62,8 +63,8 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, text_column: str =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
                 rows, numbers, starts, lengths, sums = [], [], [], [], []
                 texts = part.column("text").to_pylist()
                 for i, ids in enumerate(token_bytes(texts, path)):
