@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 # Fixed value: white space that separates words in all contracts of this package.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -37,3 +41,31 @@ def small_or_shuffled(df: DataFrame, rows: int) -> DataFrame:
 def with_fields(schema: StructType, fields: str) -> StructType:
     """A schema and further fields, given as ``name type, ...``."""
     return StructType([*schema.fields, *StructType.fromDDL(fields).fields])
+
+
+def compressed(df: DataFrame) -> DataFrame:
+    """The rows with ``text`` as compressed bytes, for a shuffle; null and empty as null."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            at = batch.schema.names.index("text")
+            packed = [
+                packer.compress(t.encode("utf-8", "surrogatepass")) if t else None
+                for t in batch.column(at).to_pylist()
+            ]
+            arrays = list(batch.columns)
+            arrays[at] = pa.array(packed, pa.binary())
+            yield pa.RecordBatch.from_arrays(arrays, batch.schema.names)
+
+    fields = [
+        StructField("text", BinaryType()) if f.name == "text" else f for f in df.schema.fields
+    ]
+    return df.mapInArrow(pack, StructType(fields))
+
+
+def decompressed(packed: list[bytes | None]) -> Iterator[str | None]:
+    """The texts of ``compressed``, one after another."""
+    unpacker = zstandard.ZstdDecompressor()
+    for one in packed:
+        yield unpacker.decompress(one).decode("utf-8", "surrogatepass") if one else None

@@ -1,6 +1,6 @@
 """Quality by the perplexity of a character n-gram model of trusted text.
 
-The model is an interpolated modified Kneser-Ney model of five characters, its counts taken
+The model is an interpolated modified Kneser-Ney model of four characters, its counts taken
 from every trusted document. Grams are packed numbers (12 bits a character; beyond U+07FF
 2048 numbers are shared), so counting, left extensions, discounts and back-off weights are
 plain grouped sums and joins in Spark, sharded by gram.
@@ -14,7 +14,7 @@ A document is kept unless its perplexity exceeds its language's threshold: ``MAR
 a high quantile over the trusted documents of that language, or of all languages where it
 has none.
 
-Defined results: a null text, or one of fewer than three characters, has no gram and no
+Defined results: a null text, or one of fewer than two characters, has no gram and no
 perplexity and is kept; a null language is a language of its own; repeated rows are scored
 alike; without trusted documents all are kept; an empty table gives an empty result; other
 columns, whatever their names, pass through ``keep_good`` unchanged.
@@ -23,7 +23,7 @@ columns, whatever their names, pass through ``keep_good`` unchanged.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import small_or_shuffled, with_fields
+from ledgertalk.llm.common import compressed, decompressed, small_or_shuffled, with_fields
 from ledgertalk.sources.scratch import stored
 
-ORDER, BITS = 5, 12
+ORDER, BITS = 4, 12
 CODES = 1 << BITS
-BLOCK_DOCS = 8192
+BLOCK_DOCS = 16384
 # Quantile of trusted documents' perplexity, and how far beyond it a document may lie.
 QUANTILE, MARGIN = 0.995, 1.4
 # Trusted ids are broadcast up to this number (16 MB), joined by a shuffle beyond it.
@@ -51,7 +51,7 @@ def mask(order: int) -> int:
 
 
 def grams(text: str | None) -> np.ndarray:
-    """All five-character grams of a text as packed numbers; white space reads as one space."""
+    """All four-character grams of a text as packed numbers; white space reads as one space."""
     line = f" {' '.join(text.split())} " if text else ""
     points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
     if len(points) < ORDER:
@@ -69,7 +69,7 @@ def tagged(order: int, gram):
     return gram | (order << (BITS * ORDER))
 
 
-def _in_batches(texts: list[str | None]) -> Iterator[list[np.ndarray]]:
+def _in_batches(texts: Iterable[str | None]) -> Iterator[list[np.ndarray]]:
     held, size = [], 0
     for text in texts:
         held.append(grams(text))
@@ -219,7 +219,7 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def log_probabilities(found: np.ndarray, known: pd.Index, logp, back_off, unseen: float) -> np.ndarray:
-    """Log-probability of each five-character gram, backing off to shorter ones."""
+    """Log-probability of each four-character gram, backing off to shorter ones."""
     result = np.full(len(found), np.nan)
     weight = np.zeros(len(found))
 
@@ -248,19 +248,21 @@ def scored(docs: DataFrame, fitted: Model) -> DataFrame:
         "text",
     )
     asked = blocked.select("block", "text").mapInArrow(_asked, "block long, key long")
-    answers = asked.distinct().join(fitted.entries, "key")
+    answers = asked.join(fitted.entries, "key")
     unseen = fitted.unseen
     schema = with_fields(
         docs.select("doc_id", "lang").schema, "text_hash long, grams long, perplexity double"
     )
 
     def score(rows: pa.Table, entries: pa.Table) -> pa.Table:
-        known = pd.Index(entries.column("key").to_numpy())
-        logp = entries.column("logp").to_numpy(zero_copy_only=False)
-        back_off = entries.column("back_off").to_numpy(zero_copy_only=False)
+        # A block that several tasks read asks for some grams more than once.
+        keys, first = np.unique(entries.column("key").to_numpy(), return_index=True)
+        known = pd.Index(keys)
+        logp = entries.column("logp").to_numpy(zero_copy_only=False)[first]
+        back_off = entries.column("back_off").to_numpy(zero_copy_only=False)[first]
         sizes: list[int] = []
         perplexity: list[float | None] = []
-        for held in _in_batches(rows.column("text").to_pylist()):
+        for held in _in_batches(decompressed(rows.column("text").to_pylist())):
             codes, distinct = pd.factorize(np.concatenate(held))
             logs = log_probabilities(distinct, known, logp, back_off, unseen)[codes]
             at = 0
@@ -280,7 +282,7 @@ def scored(docs: DataFrame, fitted: Model) -> DataFrame:
             names=["doc_id", "lang", "text_hash", "grams", "perplexity"],
         )
 
-    with_hash = blocked.withColumn("text_hash", F.xxhash64("text"))
+    with_hash = compressed(blocked.withColumn("text_hash", F.xxhash64("text")))
     return (
         with_hash.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
     )
