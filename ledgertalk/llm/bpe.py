@@ -1,14 +1,15 @@
 """Encoding and decoding with a public tokenizer's vocabulary, by a table of distinct words.
 
 White space never joins two pieces of the vocabulary, so a text's ids are its words' ids one
-after another. Three steps:
+after another; nor do letters and the points or commas behind them, and case is ignored, so
+``The``, ``the`` and ``the,`` share the word ``the``. Steps:
 
-1. every task splits its texts into words and returns each distinct word of a block of
-   documents once; dealt by word, their distinct words are the word table;
-2. each word of that table is encoded once, by the tokenizers library;
-3. blocks get their words' ids by a join on the word (a frequent word comes once a block, not
-   once an occurrence), meet their documents again by block, and put ids in place by
-   position. Texts travel compressed.
+1. every task counts its words; summed over all tasks they are the word table;
+2. each word of the table is encoded once, by the tokenizers library;
+3. the most frequent words, a fixed number at most, go to every task. For all others a block
+   of documents asks once a word, by a join with the table, and the answers meet the block's
+   documents again, which travel compressed;
+4. ids are put in place by position.
 
 ``decode`` joins each id with its piece, map-side: the id-to-piece table has a fixed size.
 A block is a range of doc_id, so texts in id order share blocks; any ids give right results.
@@ -21,25 +22,29 @@ other columns are ignored.
 from __future__ import annotations
 
 import os
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
-import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgertalk.llm.common import with_fields
+from ledgertalk.llm.common import compressed, decompressed, with_fields
+from ledgertalk.sources.scratch import stored
 
 # Spark runs a task on each core already.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 BLOCK_DOCS = 4096
 # Distinct words that a task holds before it passes them on.
-HELD_WORDS = 200_000
+HELD_WORDS = 300_000
+# Most words that every task knows, and the longest of them in bytes.
+FREQUENT, FREQUENT_BYTES = 1 << 18, 64
 ENCODED_AT_ONCE = 2_000
 # Words of letters whose ids a worker remembers in each of two generations.
 REMEMBERED = 400_000
@@ -129,77 +134,125 @@ def _encoded_alone(words: list[str], path: str) -> list[bytes]:
     return found
 
 
+def units(word: str) -> tuple[str, ...]:
+    """What a word's ids are made of: its letters in lower case and the signs behind them, or
+    the word itself if it has any other form. Letters that are not in normal form, or whose
+    lower case depends on their place, are another form."""
+    core = word.rstrip(".,")
+    lower = core.lower()
+    if core.isalpha() and (
+        core.isascii()
+        or (lower.isalpha() and "\u03a3" not in core and is_normalized("NFC", lower))
+    ):
+        return (lower, word[len(core) :]) if len(core) < len(word) else (lower,)
+    return (word,)
+
+
+def encoded_units(wanted: list[str], path: str) -> list[bytes]:
+    """Ids of units as little-endian unsigned 32-bit integers."""
+    letters = [u for u in wanted if u.isalpha() and units(u) == (u,) and u == u.lower()]
+    found = dict(zip(letters, _encoded_letters(letters, path), strict=True))
+    others = [u for u in wanted if u not in found]
+    found.update(zip(others, _encoded_alone(others, path), strict=True))
+    return [found[u] for u in wanted]
+
+
 def encoded_words(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as little-endian unsigned 32-bit integers.
-
-    Most words are letters, and perhaps points or commas behind them. The tokenizer parts
-    these and ignores case, so the letters are encoded once for all such words. A word of any
-    other form goes alone, and so do letters that are not in normal form or whose lower case
-    depends on their place.
-    """
-    split: list[tuple[str, str] | None] = []
-    for word in words:
-        core = word.rstrip(".,")
-        lower = core.lower()
-        plain = core.isalpha() and (
-            core.isascii()
-            or (lower.isalpha() and "\u03a3" not in core and is_normalized("NFC", lower))
-        )
-        split.append((lower, word[len(core) :]) if plain else None)
+    """Ids of whole words, through the worker's memory of units."""
     memory = _letters.setdefault(path, Memory(REMEMBERED))
-    parts = {x for pair in split if pair for x in pair if x}
-    unknown = memory.missing(parts)
-    letters = [x for x in unknown if x.isalpha()]
-    memory.new.update(zip(letters, _encoded_letters(letters, path), strict=True))
-    signs = [x for x in unknown if not x.isalpha()]
-    memory.new.update(zip(signs, _encoded_alone(signs, path), strict=True))
-    memory.new[""] = b""
-    others = iter(
-        _encoded_alone([w for w, pair in zip(words, split, strict=True) if pair is None], path)
-    )
+    parts = [units(word) for word in words]
+    unknown = memory.missing({u for each in parts for u in each})
+    memory.new.update(zip(unknown, encoded_units(unknown, path), strict=True))
     known = memory.new
-    return [next(others) if pair is None else known[pair[0]] + known[pair[1]] for pair in split]
+    return [known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]] for p in parts]
 
 
-def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, set[str]] = {}
-    count = 0
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words: Counter[str] = Counter()
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        for block, words in held.items():
-            listed = pa.array(list(words), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(listed), block, dtype=np.int64)), listed],
-                ["block", "word"],
-            )
+    def flush() -> pa.RecordBatch:
+        found: dict[str, int] = {}
+        for word, n in words.items():
+            for unit in units(word):
+                found[unit] = found.get(unit, 0) + n
+        words.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+            ["unit", "n"],
+        )
 
     for batch in batches:
-        for block, text in zip(
-            batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True
-        ):
-            words = held.setdefault(block, set())
-            count -= len(words)
+        for text in batch.column("text").to_pylist():
             words.update(words_of(text))
-            count += len(words)
-            if count > HELD_WORDS:
-                yield from flush()
-                held.clear()
-                count = 0
-    yield from flush()
+            if len(words) > HELD_WORDS:
+                yield flush()
+    yield flush()
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as compressed bytes; null and empty ones as null."""
-    packer = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        packed = [
-            packer.compress(t.encode("utf-8", "surrogatepass")) if t else None for t in texts
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("block"), batch.column("doc_id"), pa.array(packed, pa.binary())],
-            ["block", "doc_id", "packed"],
-        )
+def word_table(docs: DataFrame, path: str) -> DataFrame:
+    """``unit, n, ids``: every unit of all texts once, with its count."""
+
+    def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = encoded_units(batch.column("unit").to_pylist(), path)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(ids, pa.binary())], ["unit", "n", "ids"]
+            )
+
+    counts = docs.select("text").mapInArrow(_counted, "unit string, n long")
+    counts = counts.groupBy("unit").agg(F.sum("n").alias("n"))
+    return stored(counts.mapInArrow(with_ids, "unit string, n long, ids binary"), "words")
+
+
+def frequent(table: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The rows of the most frequent units, at most ``most`` of them: all above the lowest
+    count that leaves no more. Counts are taken in steps of a fifth of an octave."""
+    step = F.floor(5 * F.log2("n")).cast("int")
+    short = table.filter(F.octet_length("unit") <= FREQUENT_BYTES).withColumn("step", step)
+    # At most 5 * 63 rows.
+    steps = sorted(short.groupBy("step").count().collect(), key=lambda r: -r["step"])
+    lowest, total = None, 0
+    for row in steps:
+        total += row["count"]
+        if total > most:
+            break
+        lowest = row["step"]
+    if lowest is None:
+        return short.limit(0)
+    return short.filter(F.col("step") >= lowest)
+
+
+def _rare(known: Broadcast[dict[str, bytes]]):
+    """Units of a block's texts that are not frequent, each once."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, set[str]] = {}
+        count = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for block, words in held.items():
+                found = {u for word in words for u in units(word)} - known.value.keys()
+                listed = pa.array(list(found), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(listed), block, dtype=np.int64)), listed],
+                    ["block", "unit"],
+                )
+            held.clear()
+
+        for batch in batches:
+            for block, text in zip(
+                batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True
+            ):
+                words = held.setdefault(block, set())
+                count -= len(words)
+                words.update(words_of(text))
+                count += len(words)
+                if count > HELD_WORDS:
+                    yield from flush()
+                    count = 0
+        yield from flush()
+
+    return find
 
 
 def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
@@ -209,45 +262,40 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
         "doc_id",
         F.col(text_column).alias("text"),
     )
-    # Dealt by word once; both the word table and the join read that.
-    in_blocks = (
-        blocked.select("block", "text")
-        .mapInArrow(_block_words, "block long, word string")
-        .repartition("word")
-    )
-
-    def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column("word")
-            ids = encoded_words(words.to_pylist(), path)
-            yield pa.RecordBatch.from_arrays([words, pa.array(ids, pa.binary())], ["word", "ids"])
-
-    table = (
-        in_blocks.groupBy("word")
-        .agg(F.min("block").alias("block"))
-        .mapInArrow(with_ids, "word string, ids binary")
-    )
-    known = in_blocks.join(table, "word").select("block", "word", "ids")
-    id_schema = docs.select("doc_id").schema
-    rows = blocked.mapInArrow(
-        _packed, with_fields(blocked.select("block", "doc_id").schema, "packed binary")
-    )
-    schema = with_fields(id_schema, "ids binary")
-
-    def in_place(rows: pa.Table, words: pa.Table) -> pa.Table:
-        ids = dict(
-            zip(words.column("word").to_pylist(), words.column("ids").to_pylist(), strict=True)
+    table = word_table(blocked, path)
+    # At most FREQUENT rows of at most FREQUENT_BYTES.
+    often = frequent(table).select("unit", "ids").toArrow()
+    common = dict(zip(often["unit"].to_pylist(), often["ids"].to_pylist(), strict=True))
+    shared = docs.sparkSession.sparkContext.broadcast(common)
+    asked = blocked.select("block", "text").mapInArrow(_rare(shared), "block long, unit string")
+    answers = asked.join(table.select("unit", "ids"), "unit").select("block", "unit", "ids")
+    schema = with_fields(docs.select("doc_id").schema, "ids binary")
+
+    def in_place(rows: pa.Table, rare: pa.Table) -> pa.Table:
+        often = shared.value
+        here = dict(
+            zip(rare.column("unit").to_pylist(), rare.column("ids").to_pylist(), strict=True)
         )
-        unpacker = zstandard.ZstdDecompressor()
+        ids: dict[str, bytes] = {}
         found = []
-        for packed in rows.column("packed").to_pylist():
-            text = unpacker.decompress(packed).decode("utf-8", "surrogatepass") if packed else None
-            found.append(b"".join([ids[w] for w in words_of(text)]))
+        for text in decompressed(rows.column("text").to_pylist()):
+            words = words_of(text)
+            for word in set(words) - ids.keys():
+                parts = [often.get(u) for u in units(word)]
+                ids[word] = b"".join(
+                    [here[u] if p is None else p for u, p in zip(units(word), parts, strict=True)]
+                )
+            found.append(b"".join([ids[w] for w in words]))
         return pa.table(
             [rows.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "ids"]
         )
 
-    return rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(in_place, schema)
+    return (
+        compressed(blocked)
+        .groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(in_place, schema)
+    )
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertalk.llm import (
+    ann,
     bpe,
     html_extract,
     jaccard,
@@ -50,6 +51,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("id") % ann.QUERY_EVERY == 0
+    return ann.neighbours(table(spark, sf_dir, "embeddings"), is_query)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labelled = url_rules.labelled_pages(pages, table(spark, sf_dir, "labels"))
@@ -123,6 +129,7 @@ def llm_queries() -> dict[str, Query]:
         "op2_bpe": op2_bpe,
         "op3_quality_classifier": op3_quality_classifier,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_nearest_neighbours": op5_nearest_neighbours,
         "op6_url_filters": op6_url_filters,
         "op7_sharding": op7_sharding,
         "op8_pii": op8_pii,
