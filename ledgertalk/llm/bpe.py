@@ -25,6 +25,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from ledgertalk.llm.common import compressed, decompressed, with_fields
 from ledgertalk.sources.scratch import stored
@@ -46,8 +47,8 @@ HELD_WORDS = 300_000
 # Most words that every task knows, and the longest of them in bytes.
 FREQUENT, FREQUENT_BYTES = 1 << 18, 64
 ENCODED_AT_ONCE = 2_000
-# Words of letters whose ids a worker remembers in each of two generations.
-REMEMBERED = 400_000
+# Units whose ids a worker remembers.
+REMEMBERED = 500_000
 
 
 @lru_cache(maxsize=4)
@@ -55,6 +56,21 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=4)
+def _letter_tokenizer(path: str) -> Tokenizer:
+    """The same vocabulary for texts of lower-case letters and single spaces, which the
+    normalizer and the pattern that parts words would leave as they are."""
+    found = Tokenizer.from_file(path)
+    found.normalizer = normalizers.Sequence([])
+    found.pre_tokenizer = pre_tokenizers.Sequence(
+        [
+            pre_tokenizers.CharDelimiterSplit(" "),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ]
+    )
+    return found
+
+
 @lru_cache(maxsize=4)
 def pieces(path: str) -> list[str]:
     """The id-to-piece table; ids without a piece read as nothing."""
@@ -80,21 +96,28 @@ def words_of(text: str | None) -> list[str]:
 
 
 class Memory:
-    """Ids by text in two generations: what a full one has not met again is forgotten."""
+    """Ids by text, for one worker. When full it stays as it is, for what is frequent came
+    early, unless it has come to know little of what is asked."""
 
     def __init__(self, most: int) -> None:
         self.most = most
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def missing(self, wanted: set[str]) -> list[str]:
-        """Move what is known to the new generation; the rest."""
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
-        unknown = wanted - self.new.keys()
-        met = unknown & self.old.keys()
-        self.new.update((key, self.old[key]) for key in met)
-        return list(unknown - met)
+        unknown = list(wanted - self.known.keys())
+        if len(self.known) >= self.most and 4 * len(unknown) > 3 * len(wanted):
+            self.known.clear()
+            return list(wanted)
+        return unknown
+
+    def learn(self, texts: list[str], ids: list[bytes]) -> None:
+        self.known.update(zip(texts, ids, strict=True))
+
+    def forget_beyond(self, texts: list[str]) -> None:
+        """Drop these again if there are too many by now."""
+        if len(self.known) > self.most:
+            for text in texts:
+                del self.known[text]
 
 
 _letters: dict[str, Memory] = {}
@@ -111,7 +134,9 @@ def _encoded_letters(words: list[str], path: str) -> list[bytes]:
     for at in range(0, len(words), ENCODED_AT_ONCE):
         part = words[at : at + ENCODED_AT_ONCE]
         ids = np.asarray(
-            tokenizer(path).encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids,
+            _letter_tokenizer(path)
+            .encode_batch_fast([" ".join(part)], add_special_tokens=False)[0]
+            .ids,
             dtype="<u4",
         )
         ends = np.flatnonzero(_ends_word(path)[ids]) + 1
@@ -134,23 +159,26 @@ def _encoded_alone(words: list[str], path: str) -> list[bytes]:
     return found
 
 
+def _regular(letters: str) -> bool:
+    """Whether letters are in normal form and their lower case is letters that do not depend
+    on their place."""
+    lower = letters.lower()
+    return lower.isalpha() and "\u03a3" not in letters and is_normalized("NFC", lower)
+
+
 def units(word: str) -> tuple[str, ...]:
     """What a word's ids are made of: its letters in lower case and the signs behind them, or
-    the word itself if it has any other form. Letters that are not in normal form, or whose
-    lower case depends on their place, are another form."""
+    the word itself if it has any other form."""
     core = word.rstrip(".,")
-    lower = core.lower()
-    if core.isalpha() and (
-        core.isascii()
-        or (lower.isalpha() and "\u03a3" not in core and is_normalized("NFC", lower))
-    ):
-        return (lower, word[len(core) :]) if len(core) < len(word) else (lower,)
+    if core.isalpha() and (core.isascii() or _regular(core)):
+        return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
     return (word,)
 
 
 def encoded_units(wanted: list[str], path: str) -> list[bytes]:
     """Ids of units as little-endian unsigned 32-bit integers."""
-    letters = [u for u in wanted if u.isalpha() and units(u) == (u,) and u == u.lower()]
+    letters = [u for u in wanted if u.isalpha() and (u.isascii() or _regular(u))]
+    letters = [u for u in letters if u == u.lower()]
     found = dict(zip(letters, _encoded_letters(letters, path), strict=True))
     others = [u for u in wanted if u not in found]
     found.update(zip(others, _encoded_alone(others, path), strict=True))
@@ -160,11 +188,13 @@ def encoded_units(wanted: list[str], path: str) -> list[bytes]:
 def encoded_words(words: list[str], path: str) -> list[bytes]:
     """Ids of whole words, through the worker's memory of units."""
     memory = _letters.setdefault(path, Memory(REMEMBERED))
-    parts = [units(word) for word in words]
-    unknown = memory.missing({u for each in parts for u in each})
-    memory.new.update(zip(unknown, encoded_units(unknown, path), strict=True))
-    known = memory.new
-    return [known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]] for p in parts]
+    parts = list(map(units, words))
+    unknown = memory.missing(set(chain.from_iterable(parts)))
+    memory.learn(unknown, encoded_units(unknown, path))
+    known = memory.known
+    found = [known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]] for p in parts]
+    memory.forget_beyond(unknown)
+    return found
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,6 +21,7 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -35,9 +36,9 @@ END = b"\0\0\0\0"
 ID_BYTES = 4
 # Rows, about, that one task numbers.
 ROWS_A_BLOCK = 50_000
-# Words whose ids a worker remembers in each of two generations, and texts cut at once.
-REMEMBERED = 150_000
-TEXTS_AT_ONCE = 1024
+# Words whose ids a worker remembers, and texts cut at once.
+REMEMBERED = 400_000
+TEXTS_AT_ONCE = 2048
 
 _words: dict[str, Memory] = {}
 
@@ -46,10 +47,12 @@ def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
     """Ids of whole texts, through the worker's memory of words."""
     split = [words_of(text) for text in texts]
     memory = _words.setdefault(path, Memory(REMEMBERED))
-    unknown = memory.missing(set().union(*split))
-    memory.new.update(zip(unknown, encoded_words(unknown, path), strict=True))
-    known = memory.new
-    return [b"".join([known[w] for w in words]) for words in split]
+    unknown = memory.missing(set(chain.from_iterable(split)))
+    memory.learn(unknown, encoded_words(unknown, path))
+    known = memory.known
+    found = [b"".join([known[w] for w in words]) for words in split]
+    memory.forget_beyond(unknown)
+    return found
 
 
 def pieces(docs: DataFrame, path: str, length: int = LENGTH, text_column: str = "text") -> DataFrame:
