@@ -104,7 +104,7 @@ class Memory:
         self.known: dict[str, bytes] = {}
 
     def missing(self, wanted: set[str]) -> list[str]:
-        unknown = list(wanted - self.known.keys())
+        unknown = [text for text in wanted if text not in self.known]
         if len(self.known) >= self.most and 4 * len(unknown) > 3 * len(wanted):
             self.known.clear()
             return list(wanted)
@@ -261,7 +261,7 @@ def _rare(known: Broadcast[dict[str, bytes]]):
 
         def flush() -> Iterator[pa.RecordBatch]:
             for block, words in held.items():
-                found = {u for word in words for u in units(word)} - known.value.keys()
+                found = {u for word in words for u in units(word) if u not in known.value}
                 listed = pa.array(list(found), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(listed), block, dtype=np.int64)), listed],
@@ -310,11 +310,9 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
         found = []
         for text in decompressed(rows.column("text").to_pylist()):
             words = words_of(text)
-            for word in set(words) - ids.keys():
-                parts = [often.get(u) for u in units(word)]
-                ids[word] = b"".join(
-                    [here[u] if p is None else p for u, p in zip(units(word), parts, strict=True)]
-                )
+            for word in set(words):
+                if word not in ids:
+                    ids[word] = b"".join([often.get(u) or here.get(u, b"") for u in units(word)])
             found.append(b"".join([ids[w] for w in words]))
         return pa.table(
             [rows.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "ids"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -135,6 +136,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
