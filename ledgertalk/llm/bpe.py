@@ -258,10 +258,11 @@ def _rare(known: Broadcast[dict[str, bytes]]):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, set[str]] = {}
         count = 0
+        often = known.value
 
         def flush() -> Iterator[pa.RecordBatch]:
             for block, words in held.items():
-                found = {u for word in words for u in units(word) if u not in known.value}
+                found = {u for word in words for u in units(word) if u not in often}
                 listed = pa.array(list(found), pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(listed), block, dtype=np.int64)), listed],
@@ -312,7 +313,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
             words = words_of(text)
             for word in set(words):
                 if word not in ids:
-                    ids[word] = b"".join([often.get(u) or here.get(u, b"") for u in units(word)])
+                    ids[word] = b"".join([often[u] if u in often else here[u] for u in units(word)])
             found.append(b"".join([ids[w] for w in words]))
         return pa.table(
             [rows.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "ids"]
