@@ -15,8 +15,9 @@ one length. Then:
   nearest one's. The ratio is the smallest that finds ``TARGET`` of the true neighbours within
   the sample. Lists are read until they hold enough entries for a full answer.
 
-Lists and their queries are cut into blocks of bounded size. Scores are double precision
-inner products of the original vectors; every block sends its best, merged by query.
+Neighbouring lists and their queries are searched together in blocks of bounded size, a list
+beyond that size in several. Scores are double precision inner products of the original
+vectors; every block sends a query's best, merged by query.
 
 Defined results: vectors that are null, zero, or hold a null or a value that is not finite
 take no part, nor do vectors of another length than the commonest; a repeated vec_id is one
@@ -47,8 +48,9 @@ LIST, MOST_LISTS = 128, 8_192
 REPLICAS, BOUNDARY = 4, 1.15
 NEIGHBOURS, BEAM, WALK = 24, 192, 12
 RATIOS = tuple(1 + 0.02 * i for i in range(60))
-TARGET = 0.99
-BLOCK_ENTRIES, BLOCK_QUERIES = 4_096, 2_048
+TARGET = 0.97
+# Neighbouring lists are searched together, up to so many entries, by so many queries.
+BLOCK_ENTRIES, BLOCK_QUERIES = 16_384, 2_048
 BATCH = 256
 
 
@@ -235,7 +237,21 @@ def _entries(shared: Broadcast[Index]):
     return assign
 
 
-def _probes(shared: Broadcast[Index], sizes: Broadcast[np.ndarray], enough: int):
+def grouped_lists(sizes: np.ndarray) -> np.ndarray:
+    """Group of each list: runs of lists (which halving leaves side by side in space) of at
+    most ``BLOCK_ENTRIES`` entries, or one longer list."""
+    groups, group, held = np.zeros(len(sizes), dtype=np.int64), 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > BLOCK_ENTRIES:
+            group, held = group + 1, 0
+        groups[i] = group
+        held += size
+    return groups
+
+
+def _probes(shared: Broadcast[Index], sizes: Broadcast[tuple], enough: int):
+    """A row for each query and group of lists, with the query's lists in that group."""
+
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for whole in batches:
@@ -243,13 +259,24 @@ def _probes(shared: Broadcast[Index], sizes: Broadcast[np.ndarray], enough: int)
                 batch = whole.slice(at, BATCH)
                 points = as_queries(matrix(batch.column("vector")), index.length)
                 lists, d = nearest_lists(index, points)
-                held = np.cumsum(sizes.value[lists], axis=1) - sizes.value[lists]
+                counts, groups = sizes.value
+                held = np.cumsum(counts[lists], axis=1) - counts[lists]
                 use = (d <= index.ratio * d[:, :1]) | (held < enough)
                 rows, places = np.nonzero(use)
-                taken = batch.take(pa.array(rows))
+                chosen = lists[rows, places]
+                order = np.lexsort((groups[chosen], rows))
+                rows, chosen = rows[order], chosen[order]
+                of_group = groups[chosen]
+                new = np.ones(len(rows), dtype=bool)
+                new[1:] = (rows[1:] != rows[:-1]) | (of_group[1:] != of_group[:-1])
+                starts = np.flatnonzero(new)
+                taken = batch.take(pa.array(rows[starts]))
+                listed = pa.ListArray.from_arrays(
+                    pa.array(np.append(starts, len(rows)), pa.int32()), pa.array(chosen, pa.int64())
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(lists[rows, places], pa.int64())],
-                    [*batch.schema.names, "list"],
+                    [*taken.columns, pa.array(of_group[starts], pa.int64()), listed],
+                    [*batch.schema.names, "part", "lists"],
                 )
 
     return choose
@@ -262,18 +289,27 @@ def _best(k: int):
         first = entries.column("first").to_numpy()
         ids = queries.column("key").to_numpy()
         found_q, found_x, found_s = [], [], []
+        of_list = entries.column("list").to_numpy()
+        order = np.argsort(of_list, kind="stable")
+        names, starts = np.unique(of_list[order], return_index=True)
+        members = dict(zip(names.tolist(), np.split(order, starts[1:]), strict=True))
+        lists = queries.column("lists").to_pylist()
         for i in range(len(asked) if len(there) else 0):
+            parts = [members[c] for c in lists[i] if c in members]
+            if not parts:
+                continue
+            rows = np.concatenate(parts)
+            # Replicas of an entry in several of the lists count once.
+            rows = rows[np.unique(keys[rows], return_index=True)[1]]
             # Summed row by row, so that equal vectors have equal scores.
-            scores = (there * asked[i]).sum(axis=1)
+            scores = (there[rows] * asked[i]).sum(axis=1)
             if len(scores) > 4 * k:
                 least = np.partition(scores, len(scores) - k)[len(scores) - k]
-                rows = np.flatnonzero(scores >= least)
-            else:
-                rows = np.arange(len(scores))
-            rows = rows[np.lexsort((first[rows], -scores[rows]))[:k]]
-            found_q.append(np.full(len(rows), ids[i]))
-            found_x.append(keys[rows])
-            found_s.append(scores[rows])
+                rows, scores = rows[scores >= least], scores[scores >= least]
+            best = np.lexsort((first[rows], -scores))[:k]
+            found_q.append(np.full(len(best), ids[i]))
+            found_x.append(keys[rows[best]])
+            found_s.append(scores[best])
         empty = [np.zeros(0, dtype=np.int64)]
         return pa.table(
             [
@@ -334,43 +370,48 @@ def neighbours(
     counts = dict(entries.groupBy("list").count().collect())
     sizes = np.zeros(len(index.centroids), dtype=np.int64)
     sizes[list(counts)] = list(counts.values())
+    groups = grouped_lists(sizes)
     asking = rows.filter(is_query).select(F.col("id").alias("query_id"), "key").distinct()
     asking = stored(asking, "asking")
     queries = columns.join(asking.select("key").distinct(), "key", "left_semi").select("key", "vector")
     probes = stored(
         queries.mapInArrow(
-            _probes(shared, spark.sparkContext.broadcast(sizes), 4 * (k + 1)),
-            "key long, vector array<double>, list long",
+            _probes(shared, spark.sparkContext.broadcast((sizes, groups)), 4 * (k + 1)),
+            "key long, vector array<double>, part long, lists array<long>",
         ),
         "probes",
     )
-    asked = probes.groupBy("list").agg(
+    part_of = spark.createDataFrame(list(enumerate(groups.tolist())), "list long, part long")
+    entries = entries.join(F.broadcast(part_of), "list")
+    asked = probes.groupBy("part").agg(
         F.ceil(F.count("*") / F.lit(BLOCK_QUERIES)).cast("int").alias("query_blocks")
     )
-    held = entries.groupBy("list").agg(
+    held = entries.groupBy("part").agg(
         F.ceil(F.count("*") / F.lit(BLOCK_ENTRIES)).cast("int").alias("entry_blocks")
     )
-    blocks = asked.join(held, "list")
+    blocks = asked.join(held, "part")
 
     def last(blocks_column: str) -> Column:
         return F.col(blocks_column) - 1
 
-    one = probes.join(blocks, "list").select(
+    one = probes.join(blocks, "part").select(
         "key",
         "vector",
-        "list",
+        "lists",
+        "part",
         F.pmod(F.xxhash64("key"), F.col("query_blocks")).cast("int").alias("query_block"),
         F.explode(F.sequence(F.lit(0), last("entry_blocks"))).alias("entry_block"),
     )
-    other = entries.join(blocks, "list").select(
+    other = entries.join(blocks, "part").select(
         "key",
         "first",
         "vector",
         "list",
+        "part",
         F.pmod(F.xxhash64("key"), F.col("entry_blocks")).cast("int").alias("entry_block"),
         F.explode(F.sequence(F.lit(0), last("query_blocks"))).alias("query_block"),
     )
-    task = ["list", "query_block", "entry_block"]
+    task = ["part", "query_block", "entry_block"]
     found = one.groupBy(*task).cogroup(other.groupBy(*task)).applyInArrow(
         _best(k + 1), "query long, key long, score double"
     )
