@@ -41,11 +41,11 @@ from ledgertalk.sources.scratch import stored
 # Spark runs a task on each core already.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 2048
 # Distinct words that a task holds before it passes them on.
-HELD_WORDS = 300_000
+HELD_WORDS = 150_000
 # Most words that every task knows, and the longest of them in bytes.
-FREQUENT, FREQUENT_BYTES = 1 << 18, 64
+FREQUENT, FREQUENT_BYTES = 1 << 17, 64
 ENCODED_AT_ONCE = 2_000
 # Units whose ids a worker remembers.
 REMEMBERED = 500_000
@@ -286,8 +286,11 @@ def _rare(known: Broadcast[dict[str, bytes]]):
     return find
 
 
-def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """``doc_id, ids`` for every row; ids as little-endian unsigned 32-bit integers."""
+def encode(
+    docs: DataFrame, path: str, text_column: str = "text", back: bool = False
+) -> DataFrame:
+    """``doc_id, ids`` for every row; ids as little-endian unsigned 32-bit integers. With
+    ``back``, each task decodes its ids again, as ``decode`` would, into ``decoded``."""
     blocked = docs.select(
         F.coalesce(F.expr(f"doc_id div {BLOCK_DOCS}"), F.lit(0)).cast("long").alias("block"),
         "doc_id",
@@ -300,7 +303,9 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(common)
     asked = blocked.select("block", "text").mapInArrow(_rare(shared), "block long, unit string")
     answers = asked.join(table.select("unit", "ids"), "unit").select("block", "unit", "ids")
-    schema = with_fields(docs.select("doc_id").schema, "ids binary")
+    schema = with_fields(
+        docs.select("doc_id").schema, "ids binary" + ", decoded string" * back
+    )
 
     def in_place(rows: pa.Table, rare: pa.Table) -> pa.Table:
         often = shared.value
@@ -315,9 +320,10 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
                 if word not in ids:
                     ids[word] = b"".join([often[u] if u in often else here[u] for u in units(word)])
             found.append(b"".join([ids[w] for w in words]))
-        return pa.table(
-            [rows.column("doc_id"), pa.array(found, pa.binary())], names=["doc_id", "ids"]
-        )
+        columns = [rows.column("doc_id"), pa.array(found, pa.binary())]
+        if back:
+            columns.append(pa.array([decoded(x, path) for x in found], pa.string()))
+        return pa.table(columns, names=schema.names)
 
     return (
         compressed(blocked)
@@ -327,20 +333,21 @@ def encode(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
     )
 
 
+def decoded(ids: bytes, path: str) -> str:
+    """Pieces of the ids, parted by spaces."""
+    return " ".join(map(pieces(path).__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """The rows with ``decoded``: pieces of their ids, parted by spaces, as the library's
     decode gives them for a tokenizer without a decoder."""
     schema = with_fields(encoded.schema, "decoded string")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces(path).__getitem__
         for batch in batches:
-            found = [
-                " ".join(map(piece, np.frombuffer(ids, dtype="<u4").tolist()))
-                for ids in batch.column("ids").to_pylist()
-            ]
+            found = [decoded(ids, path) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, "decoded"]
+                [*batch.columns, pa.array(found, pa.string())], schema.names
             )
 
     return encoded.mapInArrow(texts, schema)

@@ -399,8 +399,7 @@ def fit(docs: DataFrame, text_column: str = "text", train_docs: int = TRAIN_DOCS
         keyed.join(F.broadcast(chosen.select("key")), "key", "left_semi")
         .select("text")
         .mapInArrow(rows, "example string")
-        .distinct()
-        .orderBy("example")
+        .orderBy(F.xxhash64("example"), "example")
         .limit(4 * train_docs)
         .collect()
     )

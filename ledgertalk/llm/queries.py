@@ -34,8 +34,8 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe.decode(encoded, TOKENIZER).select(
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER, back=True)
+    return encoded.select(
         "doc_id",
         (F.octet_length("ids") / packing.ID_BYTES).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -44,7 +44,9 @@ def docs(spark):
 
 def test_encode_and_decode_as_the_library(docs):
     texts = Counter((r.doc_id, r.text) for r in docs.collect())
-    found = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
+    found = bpe.encode(docs, PATH, back=True).collect()
+    again = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
     expected = Counter()
     for (doc_id, text), n in texts.items():
         ids = library_ids(text)
