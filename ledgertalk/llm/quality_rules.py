@@ -34,7 +34,7 @@ WORD_LENGTHS = (2, 15)
 # Rows, about, on which costs are measured. The order found there cannot change a verdict.
 SAMPLE_ROWS = 2000
 # Names that no input column has.
-TEXT, WORDS, SORTED = "__rule_text", "__rule_words", "__rule_windows"
+TEXT, WORDS = "__rule_text", "__rule_words"
 POSITION_BITS = 21
 
 
@@ -145,7 +145,7 @@ def repeated_words(words: Column, ordered: Column) -> Column:
     return F.when(F.size(words) >= 1 << POSITION_BITS, exact).otherwise(by_hash)
 
 
-def measures(text: Column, words: Column, ordered: Column) -> dict[str, Column]:
+def measures(text: Column, words: Column) -> dict[str, Column]:
     """The numbers that the contract's base rules and the method's rules use."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     return {
@@ -156,7 +156,7 @@ def measures(text: Column, words: Column, ordered: Column) -> dict[str, Column]:
         "n_dup_lines": _bound(
             lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")
         ),
-        "n_repeat_words": repeated_words(words, ordered),
+        "n_repeat_words": _bound(_windows(words), lambda ordered: repeated_words(words, ordered)),
         "n_upper": F.regexp_count(text, F.lit(r"\p{Lu}")).cast("long"),
         "n_letters": F.regexp_count(text, F.lit(r"\p{L}")).cast("long"),
         "n_letter_words": F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))).cast("long"),
@@ -200,15 +200,14 @@ def method_rules(m: dict[str, Column]) -> list[Rule]:
 
 
 def with_inputs(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """The text, its words and their windows as columns, each computed once a row."""
-    with_words = docs.withColumn(TEXT, text_or_empty(text_column)).withColumn(
+    """The text and its words as columns, each computed once a row."""
+    return docs.withColumn(TEXT, text_or_empty(text_column)).withColumn(
         WORDS, split_words(F.col(TEXT))
     )
-    return with_words.withColumn(SORTED, _windows(F.col(WORDS)))
 
 
 def inputs() -> dict[str, Column]:
-    return measures(F.col(TEXT), F.col(WORDS), F.col(SORTED))
+    return measures(F.col(TEXT), F.col(WORDS))
 
 
 def ordered_rules(
@@ -255,11 +254,20 @@ def first_failure(rules: Sequence[Rule]) -> Column:
 
 def keep_good(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """The rows that pass every rule, with their own columns only."""
-    m = inputs()
-    rules = ordered_rules(docs, [*base_rules(m), *method_rules(m)], text_column)
-    return with_inputs(docs, text_column).filter(first_failure(rules).isNull()).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+
+    def rules(m: dict[str, Column]) -> list[Rule]:
+        return [*base_rules(m), *method_rules(m)]
+
+    order = [rule.name for rule in ordered_rules(docs, rules(inputs()), text_column)]
+    text = text_or_empty(text_column)
+
+    def verdict(words: Column) -> Column:
+        by_name = {rule.name: rule for rule in rules(measures(text, words))}
+        return first_failure([by_name[name] for name in order])
+
+    # A filter is pushed below projections, with their expressions put in for their columns;
+    # as a lambda's argument the words are computed once a row all the same.
+    return docs.filter(_bound(split_words(text), verdict).isNull())
 
 
 def judged(docs: DataFrame, text_column: str = "text") -> DataFrame:

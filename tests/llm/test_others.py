@@ -190,12 +190,19 @@ def test_quality_rules_equal_brute_force(spark):
     good = quality_rules.keep_good(docs)
     assert good.columns == docs.columns
     assert sorted(str(r.doc_id) for r in good.collect()) == sorted(str(r.doc_id) for r in found if r.kept)
-    assert quality_rules.judged(docs.limit(0)).count() == 0
+
+
+def test_rules_run_by_rejection_per_cost(spark):
+    docs = spark.createDataFrame([(i, "WORD " * 60) for i in range(50)], "doc_id long, text string")
+    m = quality_rules.inputs()
+    rules = [quality_rules.Rule("never", m["n_symbols"] < 0), quality_rules.Rule("always", m["n_upper"] > 0)]
+    assert [r.name for r in quality_rules.ordered_rules(docs, rules)] == ["always", "never"]
+    assert len(quality_rules.ordered_rules(docs.limit(0), rules)) == 2
 
 
 def test_windows_that_share_a_hash_are_compared_by_words(spark, monkeypatch):
     """With one hash for all windows the result comes from the words themselves."""
-    monkeypatch.setattr(quality_rules, "POSITION_BITS", 63)
+    monkeypatch.setattr(quality_rules, "ordered_rules", lambda docs, rules, *_: list(rules))
     monkeypatch.setattr(quality_rules, "_windows", _one_hash)
     docs = spark.createDataFrame([(1, "a b c d a b c e"), (2, "a b c d e f")], "doc_id long, text string")
     found = {r.doc_id: r.n_repeat_words for r in quality_rules.judged(docs).collect()}
@@ -208,7 +215,8 @@ def _one_hash(words):
     return F.transform(F.slice(words, F.lit(1), F.greatest(F.size(words) - 2, F.lit(0))), lambda w, i: i.cast("long"))
 
 
-def test_quality_rules_equal_sql(spark):
+def test_quality_rules_equal_sql(spark, monkeypatch):
+    monkeypatch.setattr(quality_rules, "ordered_rules", lambda docs, rules, *_: list(rules))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     ours = quality_rules.judged(docs)
     result = connect(SF).execute(quality_rules.SQL)
