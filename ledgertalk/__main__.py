@@ -36,6 +36,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     prepare.add_argument("--validation", required=True)
     prepare.add_argument("--output", required=True)
     prepare.add_argument("--max_seq_length", type=int, default=1024)
+    prepare.add_argument("--max_train", type=int, default=job.SUBSET["train"])
+    prepare.add_argument("--max_validation", type=int, default=job.SUBSET["validation"])
     prepare.add_argument("--seed", type=int, default=42)
 
     figures = commands.add_parser("figures", help="statistics folders to report tables")
@@ -66,14 +68,20 @@ def main(argv: list[str] | None = None) -> int:
             job.build(spark, args.input, args.output, recipe_from(args), args.files)
         elif args.command == "prepare":
             job.prepare(
-                spark, args.train, args.validation, args.output, args.max_seq_length, args.seed
+                spark,
+                args.train,
+                args.validation,
+                args.output,
+                args.max_seq_length,
+                args.seed,
+                {"train": args.max_train, "validation": args.max_validation},
             )
         elif args.command == "figures":
             job.figures(spark, args.stats, args.output)
         else:
             return validate(spark, args.paths, args.max_check)
-        discard_scratch(spark)
     finally:
+        discard_scratch(spark)
         spark.stop()
     return 0
 

@@ -17,23 +17,19 @@ def order_hash(keys: Sequence[str], seed: int) -> Column:
     return F.md5(F.concat_ws("#", *keys, F.lit(seed)))
 
 
-# Up to this size every task may pass on its own best n rows: ten thousand tasks then send
-# fifty million short rows to the last one. Counting prefixes costs a second look at the keys.
-SMALL_SAMPLE = 5000
 PREFIX_DIGITS = 4
 
 
 def sample(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
     """At most ``n`` rows, chosen by key hash. ``keys`` must identify a row.
 
-    The final top-n is one task that merges ``n`` rows from every task before it. For a
-    larger ``n``, rows are first cut at the hash prefix below which ``n`` rows lie: about
-    ``n`` rows remain in all, and the cut runs right after the scan.
+    The final top-n is one task that merges ``n`` rows from every task before it, so rows are
+    first cut at the hash prefix below which ``n`` rows lie: about ``n`` rows remain in all,
+    and the cut runs right after the scan.
     """
     # A column, because an expression in the sort order is computed again per comparison.
     hashed = df.withColumn("order_hash", order_hash(keys, seed))
-    if n > SMALL_SAMPLE:
-        hashed = hashed.filter(_prefix() <= _last_prefix(hashed, n))
+    hashed = hashed.filter(_prefix() <= _last_prefix(hashed, n))
     return hashed.orderBy("order_hash", *keys).limit(n).drop("order_hash")
 
 

@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sums of doubles change with the order in which partitions arrive, so prices are summed
-# as whole ten-thousandths. Values too large for a bigint of those take the slow cast.
-PLACES = 10000
-FITS_BIGINT = 9.0e14
-UNITS = "decimal(38,0)"
+# Sums of doubles change with the order in which partitions arrive, so prices are summed as
+# decimals of eight places. A value that has none (NaN, an infinity, 1e30 and beyond) makes
+# the plain sum or mean of doubles the result, which NaN and infinities decide in any order.
+EXACT = "decimal(38,8)"
 
 
-def units(value: Column) -> Column:
-    return F.when(F.abs(value) < FITS_BIGINT, F.floor(value * PLACES + 0.5).cast(UNITS)).otherwise(
-        (value * PLACES).cast(UNITS)
-    )
+def _plain(value: Column) -> Column:
+    return F.count(F.when(value.isNotNull() & value.try_cast(EXACT).isNull(), 1)) > 0
+
+
+def _sum(value: Column) -> Column:
+    return F.sum(value.try_cast(EXACT)).cast("double")
 
 
 def exact_sum(value: Column) -> Column:
-    return F.sum(units(value)).cast("double") / PLACES
+    return F.when(_plain(value), F.sum(value)).otherwise(_sum(value))
 
 
 def exact_mean(value: Column) -> Column:
-    return exact_sum(value) / F.count(value)
+    return F.when(_plain(value), F.avg(value)).otherwise(_sum(value) / F.count(value))

@@ -48,7 +48,10 @@ def header(role: Column) -> Column:
 
 
 def render_turn(role: Column, content: Column) -> Column:
-    return F.concat(header(role), content, F.lit("<|eot_id|>"))
+    """A turn without content keeps its header, as one with empty content does."""
+    return F.concat(
+        header(F.coalesce(role, F.lit(""))), F.coalesce(content, F.lit("")), F.lit("<|eot_id|>")
+    )
 
 
 def render_chat(messages: Column) -> Column:

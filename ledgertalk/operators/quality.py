@@ -13,12 +13,16 @@ def first_fault(line: Column) -> Column:
     """Name of the first rule a line breaks, NULL for a sound line.
 
     The line is parsed once into a variant, which keeps JSON types apart: a number
-    as content is a fault, not text. Wrapped in brackets it must be one element, so
-    text after the object is a fault too.
+    as content is a fault, not text. It must be the one element of a list and the one
+    member of an object alike: text after the line's object cannot close both brackets
+    and braces, so it is a fault too.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    elements = F.try_variant_get(wrapped, "$", "array<variant>")
-    one = F.when(F.size(elements) == 1, elements[0])
+    listed = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"line":'), line, F.lit("}")))
+    elements = F.try_variant_get(listed, "$", "array<variant>")
+    members = F.map_keys(F.try_variant_get(named, "$", "map<string, variant>"))
+    alone = (F.size(elements) == 1) & (members == F.array(F.lit("line")))
+    one = F.when(alone, elements[0])
     messages = F.try_variant_get(one, "$.messages", "array<variant>")
     roles = F.transform(messages, lambda m: F.try_variant_get(m, "$.role", "string"))
 

@@ -83,11 +83,25 @@ def pack(
 
 
 def compare_responses(base: DataFrame, tuned: DataFrame, on: Sequence[str] = ("prompt",)) -> DataFrame:
-    """Base and tuned replies to the same prompt side by side. ``on`` must be unique on
-    both sides."""
+    """Base and tuned replies to the same prompt side by side. Where a prompt repeats, the
+    first reply of one side meets the first of the other, in the order of their texts."""
     shared = [name for name in ("prompt",) if name in tuned.columns and name not in on]
     before, after = F.col("base_response"), F.col("fine_tuned_response")
-    return base.join(tuned.drop(*shared), list(on)).select(
+
+    def numbered(rows: DataFrame, reply: str) -> DataFrame:
+        """Equal rows are counted, so that no window holds the repeats of one reply."""
+        counts = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times"))
+        earlier = Window.partitionBy(*on).orderBy(reply, *rows.columns)
+        first = F.sum("times").over(earlier) - F.col("times")
+        return counts.withColumn("first", first).select(
+            *rows.columns,
+            F.explode(F.sequence(F.col("first") + 1, F.col("first") + F.col("times"))).alias("nth"),
+        )
+
+    paired = numbered(base, "base_response").join(
+        numbered(tuned.drop(*shared), "fine_tuned_response"), [*on, "nth"]
+    )
+    return paired.select(
         *[name for name in base.columns if name != "base_response"],
         "base_response",
         "fine_tuned_response",

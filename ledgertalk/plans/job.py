@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ledgertalk.sources.scratch import stored
 from ledgertalk.sources.sinks import write_csv, write_lines, write_parquet
 from ledgertalk.sources.tables import read_chat_jsonl, read_csv_parts, read_transactions
 
-# Rows of each split that go to training.
+# Rows of each split that go to training, unless the command says otherwise.
 SUBSET = {"train": 60000, "validation": 5000}
 
 
@@ -82,16 +84,27 @@ def validate(spark: SparkSession, path: str, max_check: int | None = None) -> Da
 
 
 def prepare(
-    spark: SparkSession, train: str, validation: str, target: str, max_tokens: int, seed: int
+    spark: SparkSession,
+    train: str,
+    validation: str,
+    target: str,
+    max_tokens: int,
+    seed: int,
+    sizes: Mapping[str, int] = SUBSET,
 ) -> None:
     """JSONL splits to model text, length flags and a packing plan.
 
-    ``example_id`` hashes the messages; equal lines get equal text, so one of them is kept.
+    ``example_id`` is the hash of the messages and the line's number among equal lines.
     """
     rows = read_chat_jsonl(spark, {"train": train, "validation": validation})
-    json = messages_json()
-    rows = rows.withColumn("example_id", F.md5(json)).dropDuplicates(["split", "example_id"])
-    chosen = trainprep.subset(rows, ["example_id"], SUBSET, seed)
+    # Equal lines are counted and numbered again, so that no task holds all of them.
+    counted = rows.groupBy("split", "messages").agg(F.count(F.lit(1)).alias("times"))
+    rows = counted.select(
+        "split",
+        "messages",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("nth"),
+    ).withColumn("example_id", F.concat_ws("-", F.md5(messages_json()), "nth"))
+    chosen = trainprep.subset(rows, ["example_id"], sizes, seed).drop("nth")
     text = trainprep.model_text(chosen)
     sized = text.withColumn("approx_tokens", tokens_by_chars(F.col("text")))
     ready = stored(

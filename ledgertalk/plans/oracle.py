@@ -50,7 +50,7 @@ MONEY = "format('{{:,.2f}}', {})"
 
 
 def total(column: str) -> str:
-    return f"CAST(SUM(CAST({column} AS DECIMAL(28,4))) AS DOUBLE)"
+    return f"CAST(SUM(CAST({column} AS DECIMAL(38,8))) AS DOUBLE)"
 
 
 def hash_key(keys: str, seed: int) -> str:

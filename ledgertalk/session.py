@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Spark itself checks a side against this size before it broadcasts.
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # Files are compressed; rows in memory are several times as large.
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     # Recording the Python call site of every column expression triples the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -25,7 +25,7 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 def require_columns(df: DataFrame, needed: Iterable[str] = TRANSACTION_COLUMNS) -> DataFrame:
     missing = [name for name in needed if name not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}. Found columns: {df.columns}")
+        raise ValueError(f"transactions lack {missing}; the input has {df.columns}")
     return df
 
 

@@ -93,5 +93,5 @@ def test_combine_drops_repeated_json(product):
 
 
 def test_no_examples_is_an_error(product):
-    with pytest.raises(RuntimeError, match="No training examples"):
+    with pytest.raises(RuntimeError, match="made no example"):
         ex.require_some(ex.combine(ex.product_examples(product.limit(0))))

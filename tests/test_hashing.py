@@ -28,17 +28,16 @@ def test_split_is_a_property_of_the_text(spark):
     assert [r.s for r in every] == ["train"]
 
 
-def test_large_sample_equals_sorting_everything(spark):
-    for size, n in ((30000, 6000), (4000, 6000), (6000, 6000), (0, 6000)):
+def test_sample_equals_sorting_everything(spark):
+    for size, n in ((30000, 6000), (4000, 6000), (6000, 6000), (0, 6000), (9000, 1), (900, 0)):
         df = spark.range(size).select(F.col("id").cast("string").alias("k"))
         chosen = {r.k for r in sample(df, ["k"], n, 7).collect()}
         digests = sorted((hashlib.md5(f"{k}#7".encode()).hexdigest(), str(k)) for k in range(size))
         assert chosen == {k for _, k in digests[:n]}
 
 
-def test_large_sample_is_cut_before_the_final_merge(spark):
+def test_every_sample_is_cut_before_the_final_merge(spark):
     df = spark.range(30000).select(F.col("id").cast("string").alias("k"))
-    plan = sample(df, ["k"], 6000, 7)._jdf.queryExecution().optimizedPlan().toString()
-    assert "scalar-subquery" in plan
-    small = sample(df, ["k"], 50, 7)._jdf.queryExecution().optimizedPlan().toString()
-    assert "scalar-subquery" not in small
+    for n in (50, 6000):
+        plan = sample(df, ["k"], n, 7)._jdf.queryExecution().optimizedPlan().toString()
+        assert "scalar-subquery" in plan

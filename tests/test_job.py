@@ -85,7 +85,7 @@ def test_profile_s_run(spark, feed, tmp_path):
 def test_a_feed_without_usable_rows_is_an_error(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text(HEAD + "1,A,TIN,x,2011,1,,UK\n")
-    with pytest.raises(RuntimeError, match="No training examples"):
+    with pytest.raises(RuntimeError, match="made no example"):
         job.build(spark, str(path), str(tmp_path / "out"), Recipe())
 
 

@@ -14,6 +14,9 @@ CASES = [
     (SOUND[:-3], "not_json"),
     (SOUND + " tail", "not_json"),
     (SOUND + "," + SOUND, "not_json"),
+    (SOUND + "],[" + SOUND, "not_json"),
+    (SOUND + '},{"x":' + SOUND, "not_json"),
+    (SOUND + ',"x":1', "not_json"),
     ("plain", "not_json"),
     ('{"x":1}', "no_message_list"),
     ("[1]", "no_message_list"),
