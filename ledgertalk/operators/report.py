@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgertalk.config import Recipe
 from ledgertalk.functions.hashing import sample, train_or_eval
+from ledgertalk.sources.scratch import stored
 from ledgertalk.functions.text import approx_tokens
 from ledgertalk.operators.clean import is_cancellation
 
@@ -133,36 +134,30 @@ def token_describe(lengths: DataFrame) -> DataFrame:
 def token_hist50(lengths: DataFrame, bins: int = 50) -> DataFrame:
     """Equal-width bins over [min, max], the last one closed; empty bins are listed.
 
-    The (length, count) table is gathered into one row, whose size is the number of
-    distinct lengths, and cut into bins there.
+    The counts are stored once: the bounds and the bins read them.
     """
-    gathered = (
-        lengths.groupBy("approx_tokens")
-        .agg(rows().alias("n"))
-        .agg(
-            F.min("approx_tokens").alias("low"),
-            F.max("approx_tokens").alias("high"),
-            F.collect_list(F.struct("approx_tokens", "n")).alias("counted"),
-        )
-        .filter(F.col("low").isNotNull())
+    counts = stored(lengths.groupBy("approx_tokens").agg(rows().alias("n")), "length_counts")
+    low = counts.agg(F.min("approx_tokens")).scalar()
+    high = counts.agg(F.max("approx_tokens")).scalar()
+    inside = F.least(
+        F.floor((F.col("approx_tokens") - F.col("low")) * bins / (F.col("high") - F.col("low"))),
+        F.lit(bins - 1),
+    )
+    place = F.when(F.col("low") == F.col("high"), bins // 2).otherwise(inside)
+    counted = (
+        counts.select("approx_tokens", "n", low.alias("low"), high.alias("high"))
+        .groupBy(place.cast("int").alias("bin"))
+        .agg(F.sum("n").alias("count"))
+    )
+    numbers = lengths.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), low.alias("low"), high.alias("high")
+    )
+    start = F.col("low") + F.col("bin") * (F.col("high") - F.col("low")) / bins
+    return (
+        numbers.filter(F.col("low").isNotNull())
+        .join(counted, "bin", "left")
+        .select("bin", start.alias("bin_start"), F.coalesce("count", F.lit(0)).alias("count"))
     )
-    low, high = F.col("low"), F.col("high")
-
-    def place(entry: Column) -> Column:
-        inside = F.floor((entry["approx_tokens"] - low) * bins / (high - low))
-        return F.when(low == high, bins // 2).otherwise(F.least(inside, F.lit(bins - 1)))
-
-    def in_bin(number: Column) -> Column:
-        return F.aggregate(
-            F.filter("counted", lambda entry: place(entry) == number),
-            F.lit(0).cast("bigint"),
-            lambda total, entry: total + entry["n"],
-        )
-
-    numbers = F.sequence(F.lit(0), F.lit(bins - 1))
-    return gathered.select(
-        "low", "high", F.posexplode(F.transform(numbers, in_bin)).alias("bin", "count")
-    ).select("bin", (low + F.col("bin") * (high - low) / bins).alias("bin_start"), "count")
 
 
 def country_counts(lines: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertalk.functions.hashing import order_hash, sample
-from ledgertalk.functions.text import render_chat, render_prompt
+from ledgertalk.functions.text import header, render_chat, render_prompt, render_turn
 
 # Hex digits of the key hash that cut a shard into slices (16 ** 3 per shard).
 SLICE_DIGITS = 3
@@ -23,6 +23,21 @@ def model_prompt(rows: DataFrame) -> DataFrame:
     return rows.withColumn("prompt", render_prompt(F.col("messages")))
 
 
+def turn_text(turns: DataFrame) -> DataFrame:
+    """Every turn as model text, whatever comes before or after it."""
+    return turns.select(
+        "conv_id", "turn", render_turn(F.col("role"), F.col("text")).alias("text")
+    )
+
+
+def turn_prompt(turns: DataFrame) -> DataFrame:
+    """Every question, answered or not, with an open assistant header behind it."""
+    asked = render_turn(F.col("role"), F.col("text"))
+    return turns.filter(F.col("role") == "user").select(
+        "conv_id", "turn", F.concat(asked, header(F.lit("assistant"))).alias("prompt")
+    )
+
+
 def subset(rows: DataFrame, keys: Sequence[str], sizes: Mapping[str, int], seed: int) -> DataFrame:
     """``min(n, size)`` rows of each split, by key hash. One bounded top-n per split: a
     window over a split would sort the whole split in one task."""

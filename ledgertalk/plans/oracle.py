@@ -41,6 +41,10 @@ feed AS (
   SELECT {columns} FROM feed_once WHERE repeated)
 """.format(columns=COLUMNS)
 
+EVERY_TURN = (
+    "'<|start_header_id|>' || coalesce(role, '') || '<|end_header_id|>\n\n' "
+    "|| coalesce(text, '') || '<|eot_id|>'"
+)
 CANCELLED = "(InvoiceNo LIKE 'C%' OR Quantity <= 0 OR UnitPrice < 0)"
 BOUGHT = (
     "(InvoiceNo NOT LIKE 'C%' AND Description IS NOT NULL AND length(Description) > 2 "
@@ -425,6 +429,9 @@ FROM placed GROUP BY conv_id""",
     "chat_prompt": EXCHANGES.rstrip().rstrip(",")
     + f" SELECT conv_id, turn, {ASKED} || '<|start_header_id|>assistant<|end_header_id|>\n\n' "
     "AS prompt FROM chats",
+    "turn_text": f"SELECT conv_id, turn, {EVERY_TURN} AS text FROM conversations",
+    "turn_prompt": f"SELECT conv_id, turn, {EVERY_TURN} || '<|start_header_id|>assistant"
+    "<|end_header_id|>\n\n' AS prompt FROM conversations WHERE role = 'user'",
     "jsonl_roundtrip": EXCHANGES.rstrip().rstrip(",")
     + " SELECT json, "
     + SPLIT_LABEL.format(key="json", train="train", eval="validation")

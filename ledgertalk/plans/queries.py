@@ -251,6 +251,8 @@ def other_queries() -> dict[str, Query]:
         "chat_prompt": lambda s, d: trainprep.model_prompt(testdata.exchanges(s, d)).select(
             "conv_id", "turn", "prompt"
         ),
+        "turn_text": lambda s, d: trainprep.turn_text(testdata.table(s, d, "conversations")),
+        "turn_prompt": lambda s, d: trainprep.turn_prompt(testdata.table(s, d, "conversations")),
         "jsonl_roundtrip": jsonl_roundtrip,
         "response_compare": lambda s, d: trainprep.compare_responses(
             *testdata.model_responses(s, d), on=["conv_id"]
