@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from ledgertalk.llm.common import compressed, decompressed, with_fields
+from ledgertalk.llm.common import compressed, decompressed, few_at_once, with_fields
 from ledgertalk.sources.scratch import stored
 
 # Spark runs a task on each core already.
@@ -212,7 +212,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
+        for text in few_at_once(batch.column("text")):
             words.update(words_of(text))
             if len(words) > HELD_WORDS:
                 yield flush()
@@ -272,7 +272,7 @@ def _rare(known: Broadcast[dict[str, bytes]]):
 
         for batch in batches:
             for block, text in zip(
-                batch.column("block").to_pylist(), batch.column("text").to_pylist(), strict=True
+                few_at_once(batch.column("block")), few_at_once(batch.column("text")), strict=True
             ):
                 words = held.setdefault(block, set())
                 count -= len(words)

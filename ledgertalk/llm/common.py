@@ -43,6 +43,12 @@ def with_fields(schema: StructType, fields: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(fields).fields])
 
 
+def few_at_once(column: pa.Array, rows: int = 512) -> Iterator:
+    """Values of an Arrow column, of which few are Python objects at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def compressed(df: DataFrame) -> DataFrame:
     """The rows with ``text`` as compressed bytes, for a shuffle; null and empty as null."""
 
@@ -52,7 +58,7 @@ def compressed(df: DataFrame) -> DataFrame:
             at = batch.schema.names.index("text")
             packed = [
                 packer.compress(t.encode("utf-8", "surrogatepass")) if t else None
-                for t in batch.column(at).to_pylist()
+                for t in few_at_once(batch.column(at))
             ]
             arrays = list(batch.columns)
             arrays[at] = pa.array(packed, pa.binary())

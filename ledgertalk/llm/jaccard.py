@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import small_or_shuffled, with_fields
+from ledgertalk.llm.common import few_at_once, small_or_shuffled, with_fields
 from ledgertalk.llm.components import components
 from ledgertalk.sources.scratch import stored
 
@@ -153,7 +153,7 @@ def described(docs: DataFrame, linking: Linking, text_column: str = "text") -> D
         seen: set[int] = set()
         for batch in batches:
             sizes, ids, bands, regions = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in few_at_once(batch.column("text")):
                 found = shingles(text, linking.words)
                 n = len(found)
                 set_id = _set_id(found) if n else None

@@ -7,8 +7,9 @@ they touch no base span and every token of theirs is sure.
 - *Sequences.* Personal data holds a digit or an ``@``. A sequence is a run of tokens round
   such tokens, ``CONTEXT`` tokens to either side; all other tokens are outside by definition,
   so whole texts are judged but plain prose costs one scan.
-- *Training.* Sequences of at most ``TRAIN_DOCS`` documents, chosen by a hash of their text,
-  labelled by the base patterns; each phone number is given again without its country code,
+- *Training.* Sequences (of up to ``TRAIN_TOKENS`` tokens) of at most ``TRAIN_DOCS``
+  documents, chosen by a hash of their text, labelled by the base patterns and counted, the
+  ``TRAIN_EXAMPLES`` most frequent ones; each phone number is given again without its country code,
   so that the field learns digits and signs rather than the leading plus. Gradient steps on
   the log-likelihood, with forward and backward sums in numpy over padded batches.
 - *Decoding.* Viterbi in numpy over padded batches of sequences.
@@ -35,9 +36,9 @@ from ledgertalk.llm.common import with_fields
 
 # Kinds in the order in which they are listed.
 KINDS = ("email", "ip", "card", "phone")
-TRAIN_DOCS = 3000
+TRAIN_DOCS, TRAIN_TOKENS, TRAIN_EXAMPLES = 2000, 24, 800
 CONTEXT = 2
-STEPS, RATE, PENALTY = 150, 0.3, 1e-3
+STEPS, RATE, PENALTY = 120, 0.4, 1e-3
 # Least probability of every token's tag in an added span.
 SURE = 0.95
 BATCH = 512
@@ -245,8 +246,9 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def train(examples: Sequence[tuple[list[list[str]], list[int]]]) -> Field:
-    """Fit by AdaGrad steps on the penalised log-likelihood; the same examples give the same field."""
+def train(examples: Sequence[tuple[list[list[str]], list[int]]], times: Sequence[int] | None = None) -> Field:
+    """Fit by AdaGrad steps on the penalised log-likelihood, examples counted ``times``; the
+    same examples give the same field."""
     names = sorted({n for row, _ in examples for token in row for n in token})
     k = len(LABELS)
     field = Field(
@@ -257,14 +259,16 @@ def train(examples: Sequence[tuple[list[list[str]], list[int]]]) -> Field:
     )
     if not examples:
         return field
-    examples = sorted(examples, key=lambda e: (len(e[0]), e[1], e[0]))
+    weight = np.ones(len(examples)) if times is None else np.asarray(times, dtype=float)
+    order = sorted(range(len(examples)), key=lambda i: (len(examples[i][0]), *examples[i][::-1]))
+    examples, weight = [examples[i] for i in order], weight[order]
     lengths = np.array([len(r) for r, _ in examples])
-    n, width = len(examples), int(lengths.max())
+    n, width, whole_weight = len(examples), int(lengths.max()), weight.sum()
     rows, cols, ids = [], [], []
     gold = np.zeros((n, width, k))
     for i, (row, labels) in enumerate(examples):
         for j, (token, label) in enumerate(zip(row, labels, strict=True)):
-            gold[i, j, label] = 1
+            gold[i, j, label] = weight[i]
             for name in token:
                 rows.append(i)
                 cols.append(j)
@@ -273,12 +277,13 @@ def train(examples: Sequence[tuple[list[list[str]], list[int]]]) -> Field:
     real = np.arange(width)[None] < lengths[:, None]
     weights = [field.emit, field.move, field.start]
     seen = [np.full(w.shape, 1e-8) for w in weights]
-    moved = np.einsum("ntj,ntk->jk", gold[:, :-1], gold[:, 1:])
+    moved = np.einsum("ntj,ntk->jk", gold[:, :-1] / weight[:, None, None], gold[:, 1:])
     for _ in range(STEPS):
         scores = np.zeros((n, width, k))
         np.add.at(scores, (rows_, cols_), field.emit[ids_])
         ahead, behind, whole = field.marginals(scores, lengths)
-        each = np.exp(ahead + behind - whole[:, None, None]) * real[:, :, None]
+        each = np.exp(ahead + behind - whole[:, None, None])
+        each *= real[:, :, None] * weight[:, None, None]
         emit = np.zeros_like(field.emit)
         np.add.at(emit, ids_, (gold - each)[rows_, cols_])
         pairs = np.zeros((k, k))
@@ -290,10 +295,10 @@ def train(examples: Sequence[tuple[list[list[str]], list[int]]]) -> Field:
                 + (scores[use, t + 1] + behind[use, t + 1])[:, None, :]
                 - whole[use][:, None, None]
             )
-            pairs += np.exp(logs).sum(axis=0)
+            pairs += np.einsum("njk,n->jk", np.exp(logs), weight[use])
         grads = [emit, moved - pairs, (gold[:, 0] - each[:, 0]).sum(axis=0)]
         for w, g, s in zip(weights, grads, seen, strict=True):
-            g = g / n - PENALTY * w
+            g = g / whole_weight - PENALTY * w
             s += g * g
             w += RATE * g / np.sqrt(s)
     return field
@@ -365,6 +370,8 @@ def examples_of(text: str) -> list[tuple[list[list[str]], list[int]]]:
     found = []
     spans = base_spans(text)
     for run in sequences(text):
+        if len(run) > TRAIN_TOKENS:
+            continue
         labels = labelled(text, run, spans)
         tokens = [text[a:b] for a, b in run]
         found.append((features(tokens), labels))
@@ -399,11 +406,19 @@ def fit(docs: DataFrame, text_column: str = "text", train_docs: int = TRAIN_DOCS
         keyed.join(F.broadcast(chosen.select("key")), "key", "left_semi")
         .select("text")
         .mapInArrow(rows, "example string")
-        .orderBy(F.xxhash64("example"), "example")
-        .limit(4 * train_docs)
+        .groupBy("example")
+        .count()
+        .orderBy(F.desc("count"), F.xxhash64("example"), "example")
+        .limit(TRAIN_EXAMPLES)
         .collect()
     )
-    return train([literal_eval(r["example"]) for r in found])
+    return train([literal_eval(r["example"]) for r in found], [r["count"] for r in found])
+
+
+def in_parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def spans(docs: DataFrame, field: Field, text_column: str = "text") -> DataFrame:
@@ -421,7 +436,7 @@ def spans(docs: DataFrame, field: Field, text_column: str = "text") -> DataFrame
                 [[{"start": a, "end": b, "kind": k} for a, b, k in found] for found in each], of
             )
 
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch.column("text").to_pylist()
             bases = [base_spans(t) for t in texts]
             more = added_spans(texts, bases, field)
@@ -451,7 +466,7 @@ def redact(docs: DataFrame, field: Field) -> DataFrame:
     text_at = columns.index("text")
 
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch.column(text_at).to_pylist()
             bases = [base_spans(t) for t in texts]
             more = added_spans(texts, bases, field)

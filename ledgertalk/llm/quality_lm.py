@@ -32,7 +32,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import compressed, decompressed, small_or_shuffled, with_fields
+from ledgertalk.llm.common import (
+    compressed,
+    decompressed,
+    few_at_once,
+    small_or_shuffled,
+    with_fields,
+)
 from ledgertalk.sources.scratch import stored
 
 ORDER, BITS = 4, 12
@@ -42,8 +48,10 @@ BLOCK_DOCS = 16384
 QUANTILE, MARGIN = 0.995, 1.4
 # Trusted ids are broadcast up to this number (16 MB), joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 2_000_000
-# Characters, about, counted at once.
-CHARS_AT_ONCE = 2_000_000
+# Distinct grams that a task holds before it passes them on, and characters, about, that it
+# looks at once.
+HELD_GRAMS = 1_000_000
+CHARS_AT_ONCE = 500_000
 
 
 def mask(order: int) -> int:
@@ -86,7 +94,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for held in _in_batches(batch.column("text").to_pylist()):
+            for held in _in_batches(few_at_once(batch.column("text"))):
                 found, n = np.unique(np.concatenate(held), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["gram", "n"])
 
@@ -208,11 +216,11 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         blocks = np.array(batch.column("block").to_pylist(), dtype=np.int64)
         for block in pd.unique(blocks):
-            rows = batch.column("text").filter(pa.array(blocks == block)).to_pylist()
-            for part in _in_batches(rows):
+            rows = batch.column("text").filter(pa.array(blocks == block))
+            for part in _in_batches(few_at_once(rows)):
                 before = held.get(int(block), np.zeros(0, dtype=np.int64))
                 held[int(block)] = pd.unique(np.concatenate([before, *map(pd.unique, part)]))
-        if sum(map(len, held.values())) > CHARS_AT_ONCE:
+        if sum(map(len, held.values())) > HELD_GRAMS:
             yield from flush()
             held.clear()
     yield from flush()
