@@ -5,7 +5,8 @@ after another; nor do letters and the points or commas behind them, and case is
 ``The``, ``the`` and ``the,`` share the word ``the``. Steps:
 
 1. every task counts its words; summed over all tasks they are the word table;
-2. each word of the table is encoded once, by the tokenizers library;
+2. each word of the table that occurs twice or more is encoded once, by the tokenizers
+   library; one that occurs once is encoded in its place;
 3. the most frequent words, a fixed number at most, go to every task. For all others a block
    of documents asks once a word, by a join with the table, and the answers meet the block's
    documents again, which travel compressed;
@@ -30,6 +31,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,11 +43,11 @@ from ledgertalk.sources.scratch import stored
 # Spark runs a task on each core already.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-BLOCK_DOCS = 2048
+BLOCK_DOCS = 4096
 # Distinct words that a task holds before it passes them on.
 HELD_WORDS = 150_000
 # Most words that every task knows, and the longest of them in bytes.
-FREQUENT, FREQUENT_BYTES = 1 << 17, 64
+FREQUENT, FREQUENT_BYTES = 1 << 18, 64
 ENCODED_AT_ONCE = 2_000
 # Units whose ids a worker remembers.
 REMEMBERED = 500_000
@@ -220,10 +222,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """``unit, n, ids``: every unit of all texts once, with its count."""
+    """``unit, n, ids``: every unit that occurs twice or more in all texts, with its count."""
 
     def with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pc.greater(batch.column("n"), 1))
             ids = encoded_units(batch.column("unit").to_pylist(), path)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(ids, pa.binary())], ["unit", "n", "ids"]
@@ -316,9 +319,11 @@ def encode(
         found = []
         for text in decompressed(rows.column("text").to_pylist()):
             words = words_of(text)
-            for word in set(words):
-                if word not in ids:
-                    ids[word] = b"".join([often[u] if u in often else here[u] for u in units(word)])
+            new = {word: units(word) for word in set(words) if word not in ids}
+            once = [u for us in new.values() for u in us if u not in often and u not in here]
+            here.update(zip(once, encoded_units(once, path), strict=True))
+            for word, us in new.items():
+                ids[word] = b"".join([often[u] if u in often else here[u] for u in us])
             found.append(b"".join([ids[w] for w in words]))
         columns = [rows.column("doc_id"), pa.array(found, pa.binary())]
         if back:
