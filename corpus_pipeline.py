@@ -16,6 +16,8 @@ from ledgertalk.llm.common import table
 from ledgertalk.sources.scratch import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+# Words that a worker remembers in the last stage: workers live through all stages.
+REMEMBERED = 100_000
 # Near duplicates: five words and a similarity of 0.8 or more.
 NEAR = jaccard.Linking(words=5, percent=80)
 
@@ -42,7 +44,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 2048 tokens."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, remembered=REMEMBERED)
 
 
 STAGES = [

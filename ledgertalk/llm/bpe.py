@@ -187,9 +187,10 @@ def encoded_units(wanted: list[str], path: str) -> list[bytes]:
     return [found[u] for u in wanted]
 
 
-def encoded_words(words: list[str], path: str) -> list[bytes]:
+def encoded_words(words: list[str], path: str, remembered: int | None = None) -> list[bytes]:
     """Ids of whole words, through the worker's memory of units."""
     memory = _letters.setdefault(path, Memory(REMEMBERED))
+    memory.most = REMEMBERED if remembered is None else remembered
     parts = list(map(units, words))
     unknown = memory.missing(set(chain.from_iterable(parts)))
     memory.learn(unknown, encoded_units(unknown, path))

@@ -52,7 +52,7 @@ COMMON = 32
 MOST_BROADCAST_IDS = 1_000_000
 # Sets of a block, and shingles of two blocks, that a task compares at once.
 BLOCK_SETS, SHINGLES_AT_ONCE = 512, 4096
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 100_000
 
 # Odd multipliers that tell places of a shingle, and seeds of minimum hashes.
 PLACES = np.array(
@@ -175,6 +175,7 @@ def described(docs: DataFrame, linking: Linking, text_column: str = "text") -> D
                 ],
                 ["doc_id", "text_hash", "n", "set_id", "bands", "region"],
             )
+        _words.clear()
 
     return docs.select(
         "doc_id", F.col(text_column).alias("text"), F.xxhash64(text_column).alias("text_hash")

@@ -43,19 +43,28 @@ TEXTS_AT_ONCE = 2048
 _words: dict[str, Memory] = {}
 
 
-def token_bytes(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of whole texts, through the worker's memory of words."""
+def token_bytes(
+    texts: list[str | None], path: str, remembered: int | None = None
+) -> list[bytes]:
+    """Ids of whole texts, through the worker's memory of ``remembered`` words."""
     split = [words_of(text) for text in texts]
     memory = _words.setdefault(path, Memory(REMEMBERED))
+    memory.most = REMEMBERED if remembered is None else remembered
     unknown = memory.missing(set(chain.from_iterable(split)))
-    memory.learn(unknown, encoded_words(unknown, path))
+    memory.learn(unknown, encoded_words(unknown, path, remembered))
     known = memory.known
     found = [b"".join([known[w] for w in words]) for words in split]
     memory.forget_beyond(unknown)
     return found
 
 
-def pieces(docs: DataFrame, path: str, length: int = LENGTH, text_column: str = "text") -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    path: str,
+    length: int = LENGTH,
+    text_column: str = "text",
+    remembered: int | None = None,
+) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: a text's ids and the end id, cut where
     they exceed a sequence."""
     schema = with_fields(
@@ -70,7 +79,7 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, text_column: str =
                 part = batch.slice(at, TEXTS_AT_ONCE)
                 rows, numbers, starts, lengths, sums = [], [], [], [], []
                 texts = part.column("text").to_pylist()
-                for i, ids in enumerate(token_bytes(texts, path)):
+                for i, ids in enumerate(token_bytes(texts, path, remembered)):
                     whole = memoryview(ids + END)
                     for n, start in enumerate(range(0, len(whole), step)):
                         one = whole[start : start + step]
@@ -220,6 +229,13 @@ def packed(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     )
 
 
-def pack(docs: DataFrame, path: str, length: int = LENGTH, text_column: str = "text") -> DataFrame:
-    """Pieces of all texts and their places; the tokens are computed once."""
-    return packed(stored(pieces(docs, path, length, text_column), "pieces"), length)
+def pack(
+    docs: DataFrame,
+    path: str,
+    length: int = LENGTH,
+    text_column: str = "text",
+    remembered: int | None = None,
+) -> DataFrame:
+    """Pieces of all texts and their places; the tokens are computed once. Workers remember
+    the ids of ``remembered`` words: more take memory, fewer take time."""
+    return packed(stored(pieces(docs, path, length, text_column, remembered), "pieces"), length)
