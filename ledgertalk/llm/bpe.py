@@ -26,7 +26,7 @@ import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import batched, chain
 from unicodedata import is_normalized
 
 import numpy as np
@@ -49,6 +49,7 @@ HELD_WORDS = 150_000
 # Most words that every task knows, and the longest of them in bytes.
 FREQUENT, FREQUENT_BYTES = 1 << 18, 64
 ENCODED_AT_ONCE = 2_000
+TEXTS_AT_ONCE = 256
 # Units whose ids a worker remembers.
 REMEMBERED = 500_000
 
@@ -318,14 +319,15 @@ def encode(
         )
         ids: dict[str, bytes] = {}
         found = []
-        for text in decompressed(rows.column("text").to_pylist()):
-            words = words_of(text)
-            new = {word: units(word) for word in set(words) if word not in ids}
+        for texts in batched(decompressed(rows.column("text").to_pylist()), TEXTS_AT_ONCE):
+            split = [words_of(text) for text in texts]
+            distinct = set(chain.from_iterable(split))
+            new = {word: units(word) for word in distinct if word not in ids}
             once = [u for us in new.values() for u in us if u not in often and u not in here]
             here.update(zip(once, encoded_units(once, path), strict=True))
             for word, us in new.items():
                 ids[word] = b"".join([often[u] if u in often else here[u] for u in us])
-            found.append(b"".join([ids[w] for w in words]))
+            found += [b"".join([ids[w] for w in words]) for words in split]
         columns = [rows.column("doc_id"), pa.array(found, pa.binary())]
         if back:
             columns.append(pa.array([decoded(x, path) for x in found], pa.string()))

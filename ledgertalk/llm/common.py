@@ -53,7 +53,7 @@ def compressed(df: DataFrame) -> DataFrame:
     """The rows with ``text`` as compressed bytes, for a shuffle; null and empty as null."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=6)
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             at = batch.schema.names.index("text")
             packed = [
