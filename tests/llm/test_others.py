@@ -298,6 +298,17 @@ def test_perplexity_equals_a_plain_model(spark):
     assert Counter(str(r.doc_id) for r in good.collect()) == Counter(str(r.doc_id) for r in found if r.kept)
 
 
+def test_share_of_poor_documents_rejected(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    found = quality_lm.judged(spark.read.parquet(f"{sf}/documents.parquet"), labels).join(labels, "doc_id")
+    rows = Counter((r.quality, r.toxic, r.kept) for r in found.select("quality", "toxic", "kept").collect())
+    poor = {k: rows[0, 0, k] + rows[0, 1, k] for k in (True, False)}
+    # Four characters and 1.4 times the quantile reject 459 of 571.
+    assert poor[False] >= 0.85 * sum(poor.values())
+    assert rows[1, 0, False] <= 0.005 * (rows[1, 0, True] + rows[1, 0, False])
+
+
 def test_without_trusted_text_all_stay(spark):
     docs = spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
