@@ -309,6 +309,55 @@ def test_share_of_poor_documents_rejected(spark):
     assert rows[1, 0, False] <= 0.005 * (rows[1, 0, True] + rows[1, 0, False])
 
 
+def test_a_language_with_few_trusted_documents_keeps_its_clean_ones(spark):
+    dice = random.Random(5)
+
+    def prose(letters, n):
+        words = ["".join(dice.choices(letters, k=dice.randint(2, 7))) for _ in range(40)]
+        return [" ".join(dice.choices(words, k=80)) for _ in range(n)]
+
+    texts = [("en", t) for t in prose("abcdefgh", 60)] + [("xx", t) for t in prose("mnopqrst", 40)]
+    schema = "doc_id long, lang string, text string"
+    docs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], schema)
+    for trusted in ([60], [60, 61], [60, 61, 62, 63, 64]):
+        labels = spark.createDataFrame(
+            [(i, 1, 0) for i in [*range(50), *trusted]], "doc_id long, quality int, toxic int"
+        )
+        kept = Counter(r.lang for r in quality_lm.judged(docs, labels).filter("kept").collect())
+        assert kept["xx"] >= 38 and kept["en"] >= 58, (trusted, kept)
+
+
+def test_thresholds_equal_plain_models_of_the_other_folds(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    good = {r.doc_id for r in quality_lm.trusted_ids(labels).collect()}
+    rows = docs.withColumn("fold", quality_lm.fold_of(docs["text"])).collect()
+
+    def perplexity(p, text):
+        c = codes(text)
+        seen = Counter(tuple(c[j : j + quality_lm.ORDER]) for j in range(len(c) - quality_lm.ORDER + 1))
+        return math.exp(-sum(n * math.log(p(g)) for g, n in seen.items()) / sum(seen.values()))
+
+    held = defaultdict(list)
+    for fold in range(quality_lm.FOLDS):
+        p = plain_model([r.text for r in rows if r.doc_id in good and r.fold != fold], quality_lm.ORDER)
+        for r in rows:
+            if r.doc_id in good and r.fold == fold:
+                held[r.lang].append(perplexity(p, r.text))
+                held[all].append(held[r.lang][-1])
+
+    def quantile(values):
+        return sorted(values)[math.ceil(quality_lm.QUANTILE * len(values)) - 1]
+
+    top = quantile(held[all])
+    for r in quality_lm.judged(docs, labels).collect():
+        n, own = len(held[r.lang]), quantile(held[r.lang] or held[all])
+        prior = quality_lm.PRIOR_DOCS
+        want = max(own, math.exp((n * math.log(own) + prior * math.log(top)) / (n + prior)))
+        assert math.isclose(r.threshold, quality_lm.MARGIN * want, rel_tol=1e-5)
+        assert r.kept == (r.perplexity <= r.threshold)
+
+
 def test_without_trusted_text_all_stay(spark):
     docs = spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
