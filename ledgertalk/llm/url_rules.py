@@ -26,7 +26,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label:bad"
 MIN_SUPPORT = 0.002
 MIN_CONFIDENCE = 0.8
-MAX_TOKENS = 4
 
 
 @dataclass(frozen=True)
@@ -99,7 +98,6 @@ def mined_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """``rule_id, needs, confidence`` from rows ``url, bad``; every labelled row counts."""
     item_sets = labelled.filter(F.col("bad").isNotNull()).select(
@@ -111,10 +109,8 @@ def mined_rules(
     model = FPGrowth(
         itemsCol="items", minSupport=min_support, minConfidence=min_confidence
     ).fit(item_sets)
-    rules = (
-        model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD)))
-        .filter(F.size("antecedent") <= max_tokens)
-        .select(F.array_sort("antecedent").alias("needs"), "confidence")
+    rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select(
+        F.array_sort("antecedent").alias("needs"), "confidence"
     )
     rules = stored(rules.withColumn("rule_id", F.xxhash64(F.array_join("needs", "\x00"))), "rules")
     # Cut a rule that holds a shorter rule at least as sure: they meet on the short one's tokens.

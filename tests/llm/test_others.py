@@ -109,6 +109,17 @@ def test_given_rules_and_mined_rules(spark):
         assert (row.host, row.path, row.rule, row.verdict) == (host, path, rule, verdict or mined)
 
 
+def test_a_rule_of_five_tokens_blocks(spark):
+    words = ["ab", "cd", "ef", "gh", "ij"]
+    path = {0: "/".join(words)} | {i: "/".join(words[: i - 1] + words[i:]) for i in range(1, 6)}
+    # All five together are bad; any four are as often good.
+    rows = [(f"http://a.org/{path[i]}", i == 0) for i in range(6) for _ in range(20)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    pages = spark.createDataFrame([(i, f"http://a.org/{p}") for i, p in path.items()], "page_id long, url string")
+    found = {r.page_id: r.verdict for r in url_rules.judged(pages, labelled).collect()}
+    assert found == {0: "block"} | dict.fromkeys(range(1, 6), "allow")
+
+
 def test_mined_rules_are_pruned_and_can_be_none(spark):
     labels = [(f"http://spam.org/buy/{i}", True) for i in range(20)]
     labels += [(f"http://good.org/read/{i}", False) for i in range(20)]
