@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from ledgertalk.llm import (
     ann,
     bpe,
+    conversation_trie,
     html_extract,
     jaccard,
     packing,
+    piece_bpe,
     pii,
     quality_lm,
     quality_rules,
     sharding,
+    spelling,
     url_rules,
 )
 from ledgertalk.llm.common import table
@@ -27,6 +30,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The vocabulary is installed on every machine; it is a parameter of the operators.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +128,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_bpe.encode(table(spark, sf_dir, "documents"), PIECES)
+    return piece_bpe.decode(encoded, PIECES).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -136,6 +160,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_pii": op8_pii,
         "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
         "op10_quality_rules": op10_quality_rules,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_sentencepiece": op13_sentencepiece,
         "pipeline": corpus_pipeline.run,
     }
 
