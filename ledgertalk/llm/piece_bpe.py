@@ -223,8 +223,7 @@ class Pieces:
         return np.frombuffer(b"".join(found), dtype="<i4")
 
     def decoded(self, ids: list[int]) -> str:
-        surface = self.surface
-        text = b"".join([surface[i] for i in ids])
+        text = b"".join(map(self.surface.__getitem__, ids))
         return text.removeprefix(b" ").decode("utf-8", "replace")
 
 
@@ -272,7 +271,12 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = pieces(path)
         for batch in batches:
-            found = [known.decoded(ids or []) for ids in few_at_once(batch.column("ids"), 64)]
+            lists = batch.column("ids")
+            found = []
+            # One row's ids at a time as Python numbers; a null list has none.
+            for row in range(len(lists)):
+                ids = lists.slice(row, 1).flatten()
+                found.append(known.decoded(ids.to_numpy(zero_copy_only=False).tolist()))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.string())], schema.names
             )
