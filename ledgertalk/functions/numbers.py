@@ -25,3 +25,24 @@ def exact_sum(value: Column) -> Column:
 
 def exact_mean(value: Column) -> Column:
     return F.when(_plain(value), F.avg(value)).otherwise(_sum(value) / F.count(value))
+
+
+def sum_parts(value: Column, name: str) -> list[Column]:
+    """Aggregates of a first level, from which ``sum_of_parts`` and ``mean_of_parts`` give at a
+    second level what ``exact_sum`` and ``exact_mean`` give at once."""
+    bad = F.count(F.when(value.isNotNull() & value.try_cast(EXACT).isNull(), 1))
+    return [
+        bad.alias(f"{name}_bad"),
+        F.sum(value).alias(f"{name}_plain"),
+        F.sum(value.try_cast(EXACT)).alias(f"{name}_exact"),
+        F.count(value).alias(f"{name}_n"),
+    ]
+
+
+def sum_of_parts(name: str) -> Column:
+    exact = F.sum(f"{name}_exact").cast("double")
+    return F.when(F.sum(f"{name}_bad") > 0, F.sum(f"{name}_plain")).otherwise(exact)
+
+
+def mean_of_parts(name: str) -> Column:
+    return sum_of_parts(name) / F.sum(f"{name}_n")

@@ -14,98 +14,125 @@ def basket_sizes(lines: DataFrame) -> DataFrame:
     return lines.groupBy("InvoiceNo").agg(F.countDistinct("StockCode").alias("basket_size"))
 
 
-def baskets(lines: DataFrame, cap: int, names: DataFrame | None = None) -> DataFrame:
+def baskets(lines: DataFrame, cap: int, names: DataFrame) -> DataFrame:
     """``InvoiceNo, items``: distinct products, sorted by code, of invoices with at most ``cap``.
 
-    Given ``names``, repeated lines are dropped by code before the names are joined.
+    An item is ``StockCode, name_id``: names themselves take no part in baskets and pairs.
+    Repeated lines are dropped by code before ``names`` (``catalog.name_ids``) are joined.
 
     ``cap + 1`` products are enough to see that an invoice is over the cap, so each
     task passes on no more than that and no group grows beyond it. An oversized invoice
     is dropped whole and a kept one is complete: the result equals counting first.
     """
     by_code = Window.partitionBy("InvoiceNo").orderBy("StockCode")
-    if names is None:
-        products = lines.select("InvoiceNo", "StockCode", "ProductName").distinct()
-    else:
-        products = lines.select("InvoiceNo", "StockCode").distinct().join(names, "StockCode")
+    products = lines.select("InvoiceNo", "StockCode").distinct()
     return (
-        products.withColumn("place", F.row_number().over(by_code))
+        products.join(names.select("StockCode", "name_id"), "StockCode")
+        .withColumn("place", F.row_number().over(by_code))
         .filter(F.col("place") <= cap + 1)
         .groupBy("InvoiceNo")
-        .agg(F.sort_array(F.collect_list(F.struct("StockCode", "ProductName"))).alias("items"))
+        .agg(F.sort_array(F.collect_list(F.struct("StockCode", "name_id"))).alias("items"))
         .filter(F.size("items") <= cap)
     )
 
 
-def basket_items(basket_rows: DataFrame) -> DataFrame:
+def named(rows: DataFrame, names: DataFrame, **columns: str) -> DataFrame:
+    """Adds the name of each code: ``named(pairs, names, a_name="a_code")``."""
+    for name, code in columns.items():
+        rows = rows.join(
+            names.select(F.col("StockCode").alias(code), F.col("ProductName").alias(name)), code
+        )
+    return rows
+
+
+def basket_items(basket_rows: DataFrame, names: DataFrame) -> DataFrame:
     """One row per (invoice, product) of the kept baskets, with the basket's size."""
-    return basket_rows.select(
-        "InvoiceNo", F.explode("items").alias("item"), F.size("items").alias("basket_size")
-    ).select("InvoiceNo", "item.*", "basket_size")
+    items = basket_rows.select(
+        "InvoiceNo",
+        F.explode("items.StockCode").alias("StockCode"),
+        F.size("items").alias("basket_size"),
+    )
+    return named(items, names, ProductName="StockCode").select(
+        "InvoiceNo", "StockCode", "ProductName", "basket_size"
+    )
 
 
-def copurchase_pairs(basket_rows: DataFrame) -> DataFrame:
+def copurchase_pairs(basket_rows: DataFrame, names: DataFrame) -> DataFrame:
     """Unordered product pairs of each basket, smaller code first.
 
     Items are sorted, so every later item pairs with an earlier one inside the row:
     no self-join and no shuffle.
     """
-    return (
-        basket_rows.select("InvoiceNo", F.posexplode("items").alias("at", "a"), "items")
-        .select(
-            "InvoiceNo",
-            "a",
-            F.explode(F.slice("items", F.col("at") + 2, F.size("items"))).alias("b"),
-        )
-        .select(
-            "InvoiceNo",
-            F.col("a.StockCode").alias("a_code"),
-            F.col("a.ProductName").alias("a_name"),
-            F.col("b.StockCode").alias("b_code"),
-            F.col("b.ProductName").alias("b_name"),
-        )
+    codes = F.col("items.StockCode")
+    pairs = basket_rows.select("InvoiceNo", F.posexplode(codes).alias("at", "a_code"), "items")
+    pairs = pairs.select(
+        "InvoiceNo",
+        "a_code",
+        F.explode(F.slice(codes, F.col("at") + 2, F.size("items"))).alias("b_code"),
+    )
+    return named(pairs, names, a_name="a_code", b_name="b_code").select(
+        "InvoiceNo", "a_code", "a_name", "b_code", "b_name"
     )
 
 
-def directed_pairs(basket_rows: DataFrame, sources: DataFrame | None = None) -> DataFrame:
-    """Each pair in both directions. ``sources`` (src_code) keeps only pairs that start
-    at those products, before any pair is formed."""
+def _both_ways(basket_rows: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """``InvoiceNo, src_code, other``: each pair in both directions, ``other`` an item.
+    ``sources`` (src_code) keeps only pairs that start there, before any pair is formed."""
     starts = basket_rows.filter(F.size("items") > 1).select(
-        "InvoiceNo", F.explode("items").alias("src"), "items"
-    )
-    starts = starts.select(
-        "InvoiceNo",
-        F.col("src.StockCode").alias("src_code"),
-        F.col("src.ProductName").alias("src_name"),
-        "items",
+        "InvoiceNo", F.explode("items.StockCode").alias("src_code"), "items"
     )
     if sources is not None:
         starts = starts.join(sources.select("src_code"), "src_code", "left_semi")
+    return starts.select("InvoiceNo", "src_code", F.explode("items").alias("other")).filter(
+        F.col("other.StockCode") != F.col("src_code")
+    )
+
+
+def directed_pairs(basket_rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Each pair in both directions, with names."""
+    pairs = _both_ways(basket_rows).select(
+        "InvoiceNo", "src_code", F.col("other.StockCode").alias("rec_code")
+    )
+    return named(pairs, names, src_name="src_code", rec_name="rec_code").select(
+        "InvoiceNo", "src_code", "src_name", "rec_name"
+    )
+
+
+def rec_counts(basket_rows: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """``src_code, name_id, score``: baskets per product and recommended name, counted by the
+    name's number. Two codes under one name add up."""
     return (
-        starts.select("InvoiceNo", "src_code", "src_name", F.explode("items").alias("other"))
-        .filter(F.col("other.StockCode") != F.col("src_code"))
-        .select("InvoiceNo", "src_code", "src_name", F.col("other.ProductName").alias("rec_name"))
+        _both_ways(basket_rows, sources)
+        .groupBy("src_code", F.col("other.name_id").alias("name_id"))
+        .agg(F.count(F.lit(1)).alias("score"))
     )
 
 
-def pair_counts(pairs: DataFrame) -> DataFrame:
-    """Baskets per (product, recommended name). Two codes under one name add up."""
-    return pairs.groupBy("src_code", "src_name", "rec_name").agg(
-        F.count(F.lit(1)).alias("score")
+def _with_rec_name(counts: DataFrame, names: DataFrame) -> DataFrame:
+    texts = names.select("name_id", F.col("ProductName").alias("rec_name")).distinct()
+    return counts.join(texts, "name_id").drop("name_id")
+
+
+def pair_counts(counts: DataFrame, names: DataFrame) -> DataFrame:
+    """``rec_counts`` with both names."""
+    return named(_with_rec_name(counts, names), names, src_name="src_code").select(
+        "src_code", "src_name", "rec_name", "score"
     )
 
 
-def top_recs(counts: DataFrame, recipe: Recipe) -> DataFrame:
+def top_recs(counts: DataFrame, names: DataFrame, recipe: Recipe) -> DataFrame:
     """``src_code, src_name, recs``: best names in rank order, at least two of them.
 
-    Ranks are cut per task before the shuffle; the final grouping sees at most
+    Recommended names are attached to counted pairs, a product's own to its one row. Ranks
+    are cut per task before the shuffle; the final grouping sees at most
     ``recs_per_product`` rows per product.
     """
     best = Window.partitionBy("src_code").orderBy(F.desc("score"), F.asc("rec_name"))
-    return (
-        counts.withColumn("place", F.row_number().over(best))
+    ranked = (
+        _with_rec_name(counts, names)
+        .withColumn("place", F.row_number().over(best))
         .filter(F.col("place") <= recipe.recs_per_product)
-        .groupBy("src_code", "src_name")
+        .groupBy("src_code")
         .agg(
             F.sort_array(F.collect_list(F.struct("place", "rec_name")))
             .getField("rec_name")
@@ -113,17 +140,18 @@ def top_recs(counts: DataFrame, recipe: Recipe) -> DataFrame:
         )
         .filter(F.size("recs") >= 2)
     )
+    return named(ranked, names, src_name="src_code").select("src_code", "src_name", "recs")
 
 
 def recommendable(basket_rows: DataFrame) -> DataFrame:
     """``src_code`` of products that were bought with at least two different names.
 
     That is what ``size(recs) >= 2`` asks, answered without pairs: per basket the
-    smallest and largest name among the other items, then the extremes over all
-    baskets differ exactly if two names exist.
+    smallest and largest name number among the other items, then the extremes over all
+    baskets differ exactly if two names exist. Numbers are aggregated by hash, texts by sort.
     """
     by_name = F.array_sort(
-        F.transform("items", lambda i: F.struct(i["ProductName"].alias("name"), i["StockCode"].alias("code")))
+        F.transform("items", lambda i: F.struct(i["name_id"].alias("name"), i["StockCode"].alias("code")))
     )
     others = basket_rows.filter(F.size("items") > 1).select(by_name.alias("named")).select(
         F.explode("named").alias("item"),
@@ -150,7 +178,7 @@ def recommendable(basket_rows: DataFrame) -> DataFrame:
     )
 
 
-def rec_sample(basket_rows: DataFrame, recipe: Recipe) -> DataFrame:
+def rec_sample(basket_rows: DataFrame, names: DataFrame, recipe: Recipe) -> DataFrame:
     """``sample(top_recs)``, but products are drawn first and only their pairs counted."""
     chosen = sample(recommendable(basket_rows), ["src_code"], recipe.max_recs, recipe.rec_seed)
-    return top_recs(pair_counts(directed_pairs(basket_rows, chosen)), recipe)
+    return top_recs(rec_counts(basket_rows, chosen), names, recipe)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertalk.config import Recipe
 from ledgertalk.functions.hashing import sample
-from ledgertalk.functions.numbers import exact_sum
+from ledgertalk.functions.numbers import sum_of_parts, sum_parts
 from ledgertalk.functions.text import count_text, fill, money
 from ledgertalk.operators.firsts import first_values
 
@@ -23,36 +23,75 @@ def item_text() -> Column:
     )
 
 
-def order_base(lines: DataFrame, recipe: Recipe, chosen: DataFrame | None = None) -> DataFrame:
+# Parts into which an order's lines are dealt by their code.
+PARTS = 64
+
+
+def order_base(
+    lines: DataFrame,
+    recipe: Recipe,
+    chosen: DataFrame | None = None,
+    names: DataFrame | None = None,
+) -> DataFrame:
     """First items, total, distinct products and, in profile s, first date of every order.
 
-    Orders are keyed by one struct, which is never NULL even where Country is, so the
-    two aggregates below join on the partitioning they already have. ``chosen`` limits
-    the work to those keys before anything is shuffled.
+    Lines are shuffled once, by order and part; sums, distinct products and the first items of
+    a part come from the one sort that its ranks need. A code lies in one part, so the distinct
+    counts of parts add up, and an order with a third of all lines is ``PARTS`` groups. What an
+    order's parts then bring together is one row each with at most ``items_per_order`` items.
+
+    Orders are keyed by one struct, which is never NULL even where Country is. ``chosen``
+    limits the work to those keys before anything is shuffled. Product names join the kept
+    items only: given ``names``, ``lines`` need none.
     """
     facts = lines.withColumn("order_id", F.struct(*ORDER_KEY))
     if chosen is not None:
         wanted = chosen.select(F.struct(*ORDER_KEY).alias("order_id"))
         facts = facts.join(wanted, "order_id", "left_semi")
-    measures = [
-        exact_sum(F.col("LineTotal")).alias("order_total"),
-        F.countDistinct("StockCode").alias("unique_items"),
-    ]
-    if recipe.profile == "s":
-        measures.append(F.min("InvoiceDate").alias("invoice_date"))
-    totals = facts.groupBy("order_id").agg(*measures)
-    items = first_values(
-        facts.select("order_id", "StockCode", "ProductName", "Quantity", "UnitPrice"),
+    line = ("StockCode", "Quantity", "UnitPrice")
+    dated = ["InvoiceDate"] if recipe.profile == "s" else []
+    part = ["order_id", "part"]
+    dealt = facts.select(
         "order_id",
-        ["StockCode", "Quantity", "UnitPrice"],
-        item_text(),
-        recipe.items_per_order,
-        "items",
+        F.pmod(F.xxhash64("StockCode"), F.lit(PARTS)).cast("int").alias("part"),
+        *line,
+        (F.col("Quantity") * F.col("UnitPrice")).alias("LineTotal"),
+        *dated,
+    ).repartition(*part)
+    in_order = Window.partitionBy(*part).orderBy(*line)
+    ranked = dealt.select(
+        *dealt.columns,
+        F.row_number().over(in_order).alias("place"),
+        F.lag("StockCode").over(in_order).alias("previous"),
+    )
+    first = F.when(F.col("place") <= recipe.items_per_order, F.struct(*line))
+    new_code = ~F.col("StockCode").eqNullSafe(F.col("previous"))
+    of_parts = ranked.groupBy(*part).agg(
+        *sum_parts(F.col("LineTotal"), "total"),
+        F.count_if(new_code).alias("codes"),
+        F.collect_list(first).alias("items"),
+        *[F.min(name).alias(name) for name in dated],
+    )
+    whole = of_parts.groupBy("order_id").agg(
+        sum_of_parts("total").alias("order_total"),
+        F.sum("codes").alias("unique_items"),
+        F.slice(
+            F.array_sort(F.flatten(F.collect_list("items"))), 1, recipe.items_per_order
+        ).alias("items"),
+        *[F.min(name).alias("invoice_date") for name in dated],
+    )
+    if names is None:
+        names = lines.select("StockCode", "ProductName").distinct()
+    kept = ["order_id", *[name for name in whole.columns if name not in ("order_id", "items")]]
+    lists = whole.select(*kept, F.posexplode("items").alias("place", "item")).select(
+        *kept, "place", "item.*"
     )
+    placed = F.struct("place", item_text().alias("text"))
+    named = lists.join(names.select("StockCode", "ProductName"), "StockCode").groupBy(*kept)
     return (
-        totals.join(items, "order_id")
+        named.agg(F.sort_array(F.collect_list(placed)).getField("text").alias("items"))
         .filter(F.col("unique_items") > 0)
-        .select("order_id.*", "items", *totals.columns[1:])
+        .select("order_id.*", "items", *kept[1:])
     )
 
 
@@ -62,9 +101,9 @@ def sampled_order_keys(lines: DataFrame, recipe: Recipe) -> DataFrame:
     )
 
 
-def order_sample(lines: DataFrame, recipe: Recipe) -> DataFrame:
+def order_sample(lines: DataFrame, recipe: Recipe, names: DataFrame | None = None) -> DataFrame:
     """``sample(order_base)``, but the keys are drawn first and only their orders summarised."""
-    return order_base(lines, recipe, sampled_order_keys(lines, recipe))
+    return order_base(lines, recipe, sampled_order_keys(lines, recipe), names)
 
 
 def describable(cancelled: DataFrame, recipe: Recipe) -> DataFrame:

@@ -49,7 +49,9 @@ class Feed:
 
     @cached_property
     def purchases(self) -> DataFrame:
-        return clean.purchases(self.txn, self.profile)
+        # Profile s reads the transactions twice.
+        txn = self.kept.txn if self.profile == "s" else self.txn
+        return clean.purchases(txn, self.profile)
 
     @cached_property
     def cancellations(self) -> DataFrame:
@@ -63,7 +65,7 @@ class Feed:
     def names(self) -> DataFrame:
         """Read back from a file, so that its size is known when the join is planned and,
         if it is too large to broadcast, the hot codes of the other side can be split."""
-        return stored(catalog.product_names(self.bought), "product_names")
+        return catalog.name_ids(stored(catalog.product_names(self.bought), "product_names"))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -81,9 +83,17 @@ class Feed:
     def stats(self) -> DataFrame:
         return catalog.product_stats(self.bought, self.names)
 
+    @cached_property
+    def kept_stats(self) -> DataFrame:
+        return stored(self.stats, "product_stats")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return orders.order_base(self.bought, self.recipe, names=self.names)
+
     @cached_property
     def recs(self) -> DataFrame:
-        return bk.top_recs(bk.pair_counts(bk.directed_pairs(self.baskets)), self.recipe)
+        return bk.top_recs(bk.rec_counts(self.baskets), self.names, self.recipe)
 
     @cached_property
     def examples(self) -> DataFrame:
@@ -134,10 +144,10 @@ def stage_queries() -> dict[str, StageQuery]:
         "purchases": lambda f: dated(f.purchases, "InvoiceDate"),
         "line_items": lambda f: dated(f.lines, "InvoiceDate"),
         "product_stats": lambda f: f.stats,
-        "product_ranking": lambda f: catalog.most_ordered(f.stats, f.recipe.max_products),
-        "order_base": lambda f: flat_orders(orders.order_base(f.lines, f.recipe)),
+        "product_ranking": lambda f: catalog.most_ordered(f.kept_stats, f.recipe.max_products),
+        "order_base": lambda f: flat_orders(f.orders),
         "order_sample": lambda f: flat_orders(
-            orders.order_sample(f.kept.lines, f.recipe)
+            orders.order_sample(f.kept.purchases, f.recipe, f.kept.names)
         ),
         "cancellation_base": lambda f: flat_cancellations(
             orders.cancellation_base(f.cancellations, f.recipe)
@@ -145,13 +155,11 @@ def stage_queries() -> dict[str, StageQuery]:
         "cancel_sample": lambda f: flat_cancellations(
             orders.cancellation_sample(f.kept.cancellations, f.recipe)
         ),
-        "basket_items": lambda f: bk.basket_items(f.baskets),
+        "basket_items": lambda f: bk.basket_items(f.baskets, f.names),
         "top_recs": lambda f: flat_recs(f.recs),
-        "rec_sample": lambda f: flat_recs(bk.rec_sample(f.baskets, f.recipe)),
+        "rec_sample": lambda f: flat_recs(bk.rec_sample(f.baskets, f.names, f.recipe)),
         "ex_product": lambda f: as_json(examples.product_examples(f.stats, f.profile)),
-        "ex_order": lambda f: as_json(
-            examples.order_examples(orders.order_base(f.lines, f.recipe), f.profile)
-        ),
+        "ex_order": lambda f: as_json(examples.order_examples(f.orders, f.profile)),
         "ex_rec": lambda f: as_json(examples.rec_examples(f.recs, f.profile)),
         "ex_cancel": lambda f: as_json(
             examples.cancel_examples(
@@ -172,12 +180,12 @@ def n_queries() -> dict[str, StageQuery]:
         "description_counts": lambda f: catalog.description_counts(f.purchases),
         "product_names": lambda f: catalog.product_names(f.purchases),
         "basket_sizes": lambda f: bk.basket_sizes(f.purchases),
-        "copurchase_pairs": lambda f: bk.copurchase_pairs(f.baskets),
-        "directed_pairs": lambda f: bk.directed_pairs(f.baskets),
-        "pair_counts": lambda f: bk.pair_counts(bk.directed_pairs(f.baskets)),
+        "copurchase_pairs": lambda f: bk.copurchase_pairs(f.baskets, f.names),
+        "directed_pairs": lambda f: bk.directed_pairs(f.baskets, f.names),
+        "pair_counts": lambda f: bk.pair_counts(bk.rec_counts(f.baskets), f.names),
         "country_counts": lambda f: report.country_counts(f.purchases),
         "top_countries": lambda f: report.top_countries(report.country_counts(f.purchases)),
-        "top15_products": lambda f: catalog.most_ordered(f.stats, 15).select(
+        "top15_products": lambda f: catalog.most_ordered(f.kept_stats, 15).select(
             "StockCode", "ProductName", "order_count"
         ),
         "cleaning_summary": lambda f: report.summary(

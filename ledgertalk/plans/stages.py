@@ -38,7 +38,7 @@ class Kept:
 
     @cached_property
     def names(self) -> DataFrame:
-        return stored(catalog.product_names(self.purchases), "product_names")
+        return catalog.name_ids(stored(catalog.product_names(self.purchases), "product_names"))
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -46,8 +46,8 @@ class Kept:
         return stored(lines, "line_items", self._lines_path)
 
     def ranked_products(self, recipe: Recipe) -> DataFrame:
-        ranked = catalog.most_ordered(catalog.product_stats(self.lines, self.names), recipe.max_products)
-        return stored(ranked, "ranked_products")
+        stats = stored(catalog.product_stats(self.lines, self.names), "product_stats")
+        return stored(catalog.most_ordered(stats, recipe.max_products), "ranked_products")
 
 
 def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None) -> DataFrame:
@@ -66,8 +66,10 @@ def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None)
     basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap, kept.names), "baskets")
     return examples.combine(
         examples.product_examples(products, profile),
-        examples.order_examples(orders.order_base(kept.lines, recipe, order_keys), profile),
-        examples.rec_examples(bk.rec_sample(basket_rows, recipe), profile),
+        examples.order_examples(
+            orders.order_base(kept.lines, recipe, order_keys, kept.names), profile
+        ),
+        examples.rec_examples(bk.rec_sample(basket_rows, kept.names, recipe), profile),
         examples.cancel_examples(
             orders.cancellation_base(kept.cancellations, recipe, cancel_keys), profile
         ),

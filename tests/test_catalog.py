@@ -41,3 +41,42 @@ def test_sums_are_exact_for_very_large_prices(spark):
     assert df.agg(exact_sum(F.col("v")).alias("s")).first().s == 1e18
     small = spark.createDataFrame([(0.1,)] * 30, "v double")
     assert small.agg(exact_sum(F.col("v")).alias("s")).first().s == 3.0
+
+
+def test_stats_read_each_line_once_a_measure(spark, lines_of):
+    """Distinct counts would expand every line; two levels do not."""
+    lines = lines_of([("1", "A", "TIN", "2", "1.10", None), ("2", "A", "TIN", "2", "2.30", "UK")])
+    stats = catalog.product_stats(lines, catalog.name_ids(lines.select("StockCode", "ProductName").distinct()))
+    plan = stats._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "SortAggregate" not in plan
+    (row,) = stats.collect()
+    assert (row.order_count, row.country_count, row.avg_price) == (2, 1, 1.7)
+
+
+def test_stats_with_prices_that_have_no_decimals(spark):
+    rows = [("1", "A", 1, 1e35, "UK"), ("2", "A", 1, 1e35, "UK"), ("1", "B", 1, float("inf"), "UK"), ("2", "B", 1, 2.0, "UK")]
+    lines = spark.createDataFrame(
+        [(*r, "NAME") for r in rows],
+        "InvoiceNo string, StockCode string, Quantity int, UnitPrice double, Country string, ProductName string",
+    )
+    found = {r.StockCode: r.avg_price for r in catalog.product_stats(lines).collect()}
+    assert found == {"A": 1e35, "B": float("inf")}
+
+
+def test_ranking_cut_keeps_all_that_count(spark):
+    rows = [(f"{a}{i:03d}", "X", 1 + (i * 7) % 5) for a in ("AAAA", "AAAB", "B", "") for i in range(60)]
+    stats = spark.createDataFrame(rows, "StockCode string, ProductName string, order_count long")
+    wanted = [code for code, _, n in sorted(rows, key=lambda r: (-r[2], r[0]))]
+    for n in (0, 1, 47, 48, 49, 130, 239, 240, 500):
+        found = catalog.most_ordered(stats, n)
+        assert [r.StockCode for r in found.collect()] == wanted[:n]
+    # What reaches the last task is cut at count and prefix.
+    cut = catalog.most_ordered(stats, 50)._jdf.queryExecution().optimizedPlan().toString()
+    assert cut.count("scalar-subquery") >= 2
+
+
+def test_name_numbers_tell_names_apart(spark):
+    rows = [("A", "MUG"), ("B", "MUG"), ("C", "CUP")]
+    found = catalog.name_ids(spark.createDataFrame(rows, "StockCode string, ProductName string"))
+    ids = {r.StockCode: r.name_id for r in found.collect()}
+    assert ids["A"] == ids["B"] != ids["C"]

@@ -81,5 +81,31 @@ def test_a_hot_invoice_gathers_only_its_first_items(spark):
     hot = base.filter("InvoiceNo = 'HOT'").first()
     assert (hot.unique_items, hot.order_total, len(hot["items"])) == (10000, 1000.0, 12)
     assert base.count() == 20001
-    plan = base._jdf.queryExecution().sparkPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    # The hot order is dealt into parts, and no part of it holds more than a few hundredths.
+    parts = lines.filter("InvoiceNo = 'HOT'").groupBy(
+        F.pmod(F.xxhash64("StockCode"), F.lit(orders.PARTS)).alias("part")
+    )
+    sizes = [r["count"] for r in parts.count().collect()]
+    assert len(sizes) == orders.PARTS and max(sizes) < 10000 / orders.PARTS * 1.6
+
+
+def test_lines_are_shuffled_once_and_without_names(spark, lines_of):
+    from ledgertalk.sources.scratch import stored
+
+    lines = stored(lines_of([("1", "A", "TIN", "1", "1"), ("1", "B", "BOX", "1", "1")]), "lines")
+    names = stored(lines.select("StockCode", "ProductName").distinct(), "names")
+    plan = orders.order_base(lines, N, names=names)._jdf.queryExecution().executedPlan().toString()
+    # Below the first grouping by part there is one exchange, by order and part.
+    below = plan[plan.index("Window "):].split("BroadcastExchange")[0]
+    assert below.count("Exchange") == 1 and "hashpartitioning(order_id" in below
+    assert below.count("FileScan") == 1 and "ProductName" not in below
+
+
+def test_parts_of_an_order_add_up(spark, monkeypatch, lines_of):
+    rows = [("1", f"P{i % 17:02d}", f"ITEM {i % 17}", str(1 + i % 3), f"{i % 5 + 1}.5") for i in range(90)]
+    lines = lines_of(rows)
+    found = {}
+    for parts in (1, 3, 64):
+        monkeypatch.setattr(orders, "PARTS", parts)
+        (found[parts],) = orders.order_base(lines, N).collect()
+    assert found[1] == found[3] == found[64] and found[1].unique_items == 17
