@@ -30,14 +30,14 @@ def product_names(bought: DataFrame) -> DataFrame:
 def name_ids(names: DataFrame) -> DataFrame:
     """``StockCode, ProductName, name_id``: equal names have equal numbers.
 
-    A stored table: the numbers are those of one run, and only their equality counts. Where a
+    The numbers are stored: they are those of one run, and only their equality counts. Where a
     name itself is not needed, its number takes its place in shuffles and in minima.
     """
-    numbered = names.select("ProductName").distinct().select(
-        "ProductName", F.monotonically_increasing_id().alias("name_id")
+    numbered = names.select("ProductName").distinct()
+    numbered = stored(
+        numbered.select("ProductName", F.monotonically_increasing_id().alias("name_id")), "name_ids"
     )
-    numbered = stored(numbered, "name_numbers")
-    return stored(names.join(numbered, "ProductName").select("StockCode", "ProductName", "name_id"), "names")
+    return names.join(numbered, "ProductName").select("StockCode", "ProductName", "name_id")
 
 
 def line_items(bought: DataFrame, names: DataFrame | None = None) -> DataFrame:

@@ -65,7 +65,11 @@ class Feed:
     def names(self) -> DataFrame:
         """Read back from a file, so that its size is known when the join is planned and,
         if it is too large to broadcast, the hot codes of the other side can be split."""
-        return catalog.name_ids(stored(catalog.product_names(self.bought), "product_names"))
+        return stored(catalog.product_names(self.bought), "product_names")
+
+    @cached_property
+    def name_ids(self) -> DataFrame:
+        return catalog.name_ids(self.names)
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -77,7 +81,7 @@ class Feed:
 
     @cached_property
     def baskets(self) -> DataFrame:
-        return bk.baskets(self.bought, self.recipe.basket_cap, self.names)
+        return bk.baskets(self.bought, self.recipe.basket_cap, self.name_ids)
 
     @cached_property
     def stats(self) -> DataFrame:
@@ -93,7 +97,7 @@ class Feed:
 
     @cached_property
     def recs(self) -> DataFrame:
-        return bk.top_recs(bk.rec_counts(self.baskets), self.names, self.recipe)
+        return bk.top_recs(bk.rec_counts(self.baskets), self.name_ids, self.recipe)
 
     @cached_property
     def examples(self) -> DataFrame:
@@ -157,7 +161,7 @@ def stage_queries() -> dict[str, StageQuery]:
         ),
         "basket_items": lambda f: bk.basket_items(f.baskets, f.names),
         "top_recs": lambda f: flat_recs(f.recs),
-        "rec_sample": lambda f: flat_recs(bk.rec_sample(f.baskets, f.names, f.recipe)),
+        "rec_sample": lambda f: flat_recs(bk.rec_sample(f.baskets, f.name_ids, f.recipe)),
         "ex_product": lambda f: as_json(examples.product_examples(f.stats, f.profile)),
         "ex_order": lambda f: as_json(examples.order_examples(f.orders, f.profile)),
         "ex_rec": lambda f: as_json(examples.rec_examples(f.recs, f.profile)),
@@ -182,7 +186,7 @@ def n_queries() -> dict[str, StageQuery]:
         "basket_sizes": lambda f: bk.basket_sizes(f.purchases),
         "copurchase_pairs": lambda f: bk.copurchase_pairs(f.baskets, f.names),
         "directed_pairs": lambda f: bk.directed_pairs(f.baskets, f.names),
-        "pair_counts": lambda f: bk.pair_counts(bk.rec_counts(f.baskets), f.names),
+        "pair_counts": lambda f: bk.pair_counts(bk.rec_counts(f.baskets), f.name_ids),
         "country_counts": lambda f: report.country_counts(f.purchases),
         "top_countries": lambda f: report.top_countries(report.country_counts(f.purchases)),
         "top15_products": lambda f: catalog.most_ordered(f.kept_stats, 15).select(

@@ -38,7 +38,11 @@ class Kept:
 
     @cached_property
     def names(self) -> DataFrame:
-        return catalog.name_ids(stored(catalog.product_names(self.purchases), "product_names"))
+        return stored(catalog.product_names(self.purchases), "product_names")
+
+    @cached_property
+    def name_ids(self) -> DataFrame:
+        return catalog.name_ids(self.names)
 
     @cached_property
     def lines(self) -> DataFrame:
@@ -63,13 +67,13 @@ def all_examples(kept: Kept, recipe: Recipe, products: DataFrame | None = None)
     cancel_keys = stored(
         orders.sampled_cancellation_keys(kept.cancellations, recipe), "cancellation_keys"
     )
-    basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap, kept.names), "baskets")
+    basket_rows = stored(bk.baskets(kept.lines, recipe.basket_cap, kept.name_ids), "baskets")
     return examples.combine(
         examples.product_examples(products, profile),
         examples.order_examples(
             orders.order_base(kept.lines, recipe, order_keys, kept.names), profile
         ),
-        examples.rec_examples(bk.rec_sample(basket_rows, kept.names, recipe), profile),
+        examples.rec_examples(bk.rec_sample(basket_rows, kept.name_ids, recipe), profile),
         examples.cancel_examples(
             orders.cancellation_base(kept.cancellations, recipe, cancel_keys), profile
         ),
