@@ -1,4 +1,4 @@
-"""Command line: ``python -m ledgertalk build|validate|prepare|figures``."""
+"""Command line: ``python -m ledgertalk build|validate|prepare|compare|losses|figures``."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ import argparse
 import sys
 
 from ledgertalk.config import PROFILES, Recipe
+from ledgertalk.operators import quality
 from ledgertalk.plans import job
 from ledgertalk.session import session
 from ledgertalk.sources.scratch import discard_scratch
+from ledgertalk.sources.sinks import write_csv
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -25,11 +27,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--max_items_per_basket", "--max_basket_size_for_pairs", dest="basket_cap", type=int
     )
     build.add_argument("--train_ratio", type=float)
-    build.add_argument("--files", type=int, default=1, help="JSONL files per split")
+    build.add_argument("--files", type=int, help="JSONL files per split; their bytes decide without it")
 
     validate = commands.add_parser("validate", help="check JSONL lines")
     validate.add_argument("paths", nargs="+")
-    validate.add_argument("--max_check", type=int)
+    validate.add_argument("--max_check", type=int, help="lines of each file")
+    validate.add_argument("--report", help="folder for a CSV of all faulty lines")
 
     prepare = commands.add_parser("prepare", help="JSONL to model text and a packing plan")
     prepare.add_argument("--train", required=True)
@@ -40,8 +43,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     prepare.add_argument("--max_validation", type=int, default=job.SUBSET["validation"])
     prepare.add_argument("--seed", type=int, default=42)
 
+    compare = commands.add_parser("compare", help="replies of two models side by side")
+    compare.add_argument("--base", required=True)
+    compare.add_argument("--tuned", required=True)
+    compare.add_argument("--output", required=True)
+
+    losses = commands.add_parser("losses", help="training log to a loss curve")
+    losses.add_argument("--log", required=True)
+    losses.add_argument("--output", required=True)
+
     figures = commands.add_parser("figures", help="statistics folders to report tables")
-    figures.add_argument("--stats", required=True)
+    figures.add_argument("--profile", choices=PROFILES, default="n")
+    figures.add_argument("--stats", required=True, help="stats folder, or eda in profile s")
     figures.add_argument("--output", required=True)
     return parser.parse_args(argv)
 
@@ -77,22 +90,37 @@ def main(argv: list[str] | None = None) -> int:
                 {"train": args.max_train, "validation": args.max_validation},
             )
         elif args.command == "figures":
-            job.figures(spark, args.stats, args.output)
+            tables = job.figures_s if args.profile == "s" else job.figures
+            tables(spark, args.stats, args.output)
+        elif args.command == "compare":
+            job.compare(spark, args.base, args.tuned, args.output)
+        elif args.command == "losses":
+            job.losses(spark, args.log, args.output)
         else:
-            return validate(spark, args.paths, args.max_check)
+            return validate(spark, args.paths, args.max_check, args.report)
     finally:
         discard_scratch(spark)
         spark.stop()
     return 0
 
 
-def validate(spark, paths: list[str], max_check: int | None) -> int:
+# Faulty lines that are printed of each path; all are in the report.
+SHOWN = 20
+
+
+def validate(spark, paths: list[str], max_check: int | None, report: str | None = None) -> int:
     faulty = 0
-    for path in paths:
+    for at, path in enumerate(paths):
+        lines = job.checked(spark, path, max_check)
         # At most one row per rule.
-        for row in job.validate(spark, path, max_check).collect():
+        for row in quality.fault_counts(lines).collect():
             print(f"{path}\t{row.result}\t{row.line_count}")
             faulty += row.result != "ok"
+        bad = quality.violations(lines)
+        for row in bad.orderBy("file", "line_no").limit(SHOWN).collect():
+            print(f"{row.file}:{row.line_no}\t{row.fault}")
+        if report is not None:
+            write_csv(bad, f"{report}/{at}", files=None, order=["file", "line_no"])
     return 1 if faulty else 0
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgertalk.sources.scratch import stored
+
 # The roles of an example, in order.
 ROLES = ("system", "user", "assistant")
 
@@ -52,6 +54,58 @@ def checked_lines(lines: DataFrame, column: str = "line", max_check: int | None
     return kept.withColumn("fault", first_fault(F.col(column)))
 
 
+def checked_files(lines: DataFrame, max_check: int | None = None) -> DataFrame:
+    """``file, line_no, line, fault`` of every line that is not blank; ``line`` is kept of
+    faulty ones. ``max_check`` stops in each file after so many lines.
+
+    ``lines`` are those of ``tables.read_numbered_lines``: a row knows its file, the block of
+    it that one task read, and a number that grows by one along the block. Totals of blocks
+    give each block its place in the file, so no file is read in one task. Where ``max_check``
+    ends inside a block, the lines of that one block are ranked.
+    """
+    blank = ~F.col("value").rlike(r"\S")
+    seen = stored(
+        lines.select(
+            "file",
+            "block",
+            "row",
+            blank.alias("blank"),
+            F.when(~blank, first_fault(F.col("value"))).alias("fault"),
+            "value",
+        ).withColumn("value", F.when(F.col("fault").isNotNull(), F.col("value"))),
+        "checked_lines",
+    )
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    blocks = seen.groupBy("file", "block").agg(
+        F.min("row").alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(~F.col("blank")).alias("checks"),
+    )
+    zero = F.lit(0).cast("long")
+    blocks = stored(
+        blocks.select(
+            "file",
+            "block",
+            "first",
+            "checks",
+            F.coalesce(F.sum("n").over(earlier), zero).alias("lines_before"),
+            F.coalesce(F.sum("checks").over(earlier), zero).alias("checks_before"),
+        ),
+        "blocks",
+    )
+    placed = seen.filter(~F.col("blank")).join(blocks, ["file", "block"])
+    if max_check is not None:
+        room = F.lit(max_check) - F.col("checks_before")
+        whole = placed.filter(F.col("checks") <= room)
+        nth = F.row_number().over(Window.partitionBy("file", "block").orderBy("row"))
+        cut = placed.filter((room > 0) & (F.col("checks") > room)).withColumn("nth", nth)
+        placed = whole.unionByName(cut.filter(F.col("nth") <= room).drop("nth"))
+    number = F.col("lines_before") + F.col("row") - F.col("first") + 1
+    return placed.select("file", number.alias("line_no"), F.col("value").alias("line"), "fault")
+
+
 def violations(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("fault").isNotNull())
 

@@ -13,19 +13,26 @@ from ledgertalk.operators import clean, examples, quality, report, trainprep
 from ledgertalk.plans.stages import Kept, all_examples
 from ledgertalk.sources.scratch import stored
 from ledgertalk.sources.sinks import write_csv, write_lines, write_parquet
-from ledgertalk.sources.tables import read_chat_jsonl, read_csv_parts, read_transactions
+from ledgertalk.sources.tables import (
+    read_chat_jsonl,
+    read_csv_parts,
+    read_numbered_lines,
+    read_transactions,
+    require_columns,
+)
 
 # Rows of each split that go to training, unless the command says otherwise.
 SUBSET = {"train": 60000, "validation": 5000}
 
 
 def build(
-    spark: SparkSession, source: str, target: str, recipe: Recipe, files: int = 1
+    spark: SparkSession, source: str, target: str, recipe: Recipe, files: int | None = None
 ) -> DataFrame:
     """Raw CSV to line items, JSONL and statistics under ``target``; returns the examples.
 
     The raw text is parsed once. Every output is derived from stored tables, so all of
-    them describe the same examples. ``files`` is the number of JSONL files per split.
+    them describe the same examples. ``files`` is the number of JSONL files per split; without
+    it their bytes decide.
     """
     txn = clean.normalize(read_transactions(spark, source), recipe.profile)
     kept = Kept(txn, recipe.profile, f"{target}/clean_purchases_parquet")
@@ -78,9 +85,39 @@ def _write_eda(
     write_lines(report.preview(rows, recipe), f"{target}/samples/sample_jsonl")
 
 
+def checked(spark: SparkSession, path: str, max_check: int | None = None) -> DataFrame:
+    """Every checked line of a JSONL file or folder with its file and number; ``max_check``
+    lines of each file at most."""
+    return quality.checked_files(read_numbered_lines(spark, path), max_check)
+
+
 def validate(spark: SparkSession, path: str, max_check: int | None = None) -> DataFrame:
     """Lines per check result of a JSONL file or folder."""
-    return quality.fault_counts(quality.checked_lines(spark.read.text(path), "value", max_check))
+    return quality.fault_counts(checked(spark, path, max_check))
+
+
+def compare(spark: SparkSession, base: str, tuned: str, target: str) -> None:
+    """Two CSV tables of replies, ``prompt, base_response`` and ``prompt, fine_tuned_response``,
+    side by side. Replies may hold line breaks."""
+
+    def replies(path: str, name: str) -> DataFrame:
+        found = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True)
+        return require_columns(found, ("prompt", name)).select("prompt", name)
+
+    both = trainprep.compare_responses(
+        replies(base, "base_response"), replies(tuned, "fine_tuned_response")
+    )
+    write_csv(both, target, files=None)
+
+
+def losses(spark: SparkSession, log: str, target: str) -> None:
+    """The loss curve of a training log in CSV: ``step, loss`` of the steps that have one."""
+    found = require_columns(spark.read.csv(log, header=True), ("step",))
+    types = {"step": "bigint", "loss": "double"}
+    found = found.withColumns(
+        {name: F.col(name).try_cast(types[name]) for name in types if name in found.columns}
+    )
+    write_csv(report.loss_curve(found), target, order=["step"])
 
 
 def prepare(
@@ -92,7 +129,7 @@ def prepare(
     seed: int,
     sizes: Mapping[str, int] = SUBSET,
 ) -> None:
-    """JSONL splits to model text, length flags and a packing plan.
+    """JSONL splits to model text, generation prompts, length flags and a packing plan.
 
     ``example_id`` is the hash of the messages and the line's number among equal lines.
     """
@@ -105,6 +142,9 @@ def prepare(
         F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))).alias("nth"),
     ).withColumn("example_id", F.concat_ws("-", F.md5(messages_json()), "nth"))
     chosen = trainprep.subset(rows, ["example_id"], sizes, seed).drop("nth")
+    chosen = stored(chosen, "chosen")
+    prompts = trainprep.model_prompt(chosen).select("split", "example_id", "prompt")
+    write_parquet(prompts, f"{target}/model_prompt_parquet")
     text = trainprep.model_text(chosen)
     sized = text.withColumn("approx_tokens", tokens_by_chars(F.col("text")))
     ready = stored(
@@ -118,6 +158,33 @@ def prepare(
     write_parquet(plan, f"{target}/packing_parquet")
 
 
+def figures_s(spark: SparkSession, eda: str, target: str) -> None:
+    """Report tables from the ``eda`` folders of a run in profile s."""
+    counts = read_csv_parts(
+        spark, f"{eda}/example_type_by_split", "split string, example_type string, count bigint"
+    )
+    buckets = read_csv_parts(
+        spark, f"{eda}/token_length_histogram", "split string, token_bucket string, count bigint"
+    )
+    products = read_csv_parts(
+        spark,
+        f"{eda}/top_products",
+        "StockCode string, ProductName string, order_count bigint, units_sold bigint, avg_price double",
+    )
+    write_csv(report.split_pivot(counts), f"{target}/split_pivot", order=["example_type"])
+    both = report.split_pivot(buckets.withColumnRenamed("token_bucket", "example_type"))
+    write_csv(
+        both.withColumnRenamed("example_type", "token_bucket"),
+        f"{target}/token_buckets",
+        order=["token_bucket"],
+    )
+    write_csv(
+        products.orderBy(F.desc("order_count"), "StockCode").limit(15),
+        f"{target}/top15_products",
+        order=[F.desc("order_count"), "StockCode"],
+    )
+
+
 def figures(spark: SparkSession, stats: str, target: str) -> None:
     """Report tables from the statistics folders of a run in profile n."""
     counts = read_csv_parts(

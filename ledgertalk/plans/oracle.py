@@ -5,7 +5,14 @@ from __future__ import annotations
 import re
 
 from ledgertalk.operators import examples as ex
-from ledgertalk.plans.queries import PACK_LENGTH, PACK_SHARDS, RECIPES, SUBSET_SIZES
+from ledgertalk.plans.queries import (
+    MAX_CHECK,
+    PACK_LENGTH,
+    PACK_SHARDS,
+    PART_CHARS,
+    RECIPES,
+    SUBSET_SIZES,
+)
 
 COLUMNS = "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country"
 
@@ -379,7 +386,7 @@ lines AS (
 parsed AS (
   SELECT conv_id, turn, line, CASE WHEN json_valid(line) THEN line END AS good FROM lines),
 checked AS (
-  SELECT conv_id, turn, CASE
+  SELECT conv_id, turn, line, CASE
     WHEN good IS NULL THEN 'not_json'
     WHEN coalesce(json_type(good, '$.messages'), '') <> 'ARRAY' THEN 'no_message_list'
     WHEN json_array_length(good, '$.messages') <> 3 THEN 'message_count'
@@ -393,6 +400,12 @@ checked AS (
   FROM parsed)
 """
 
+FAULT_LINES = DAMAGED + """, placed AS (
+  SELECT conv_id % 4 AS shard, line, fault, CASE WHEN turn % 3 = 2 THEN '' ELSE line END AS text,
+         row_number() OVER (PARTITION BY conv_id % 4 ORDER BY conv_id, turn) AS line_no
+  FROM checked)
+"""
+
 SPLIT_LABEL = "CASE WHEN CAST('0x' || substr(md5({key} || '#42'), 1, 8) AS BIGINT) % 10000 < 9000 THEN '{train}' ELSE '{eval}' END"
 
 
@@ -441,14 +454,39 @@ WITH firsts AS (
   SELECT conv_id, min(turn) FILTER (WHERE role = 'user') AS asked,
          min(turn) FILTER (WHERE role = 'assistant') AS first_reply,
          max(turn) FILTER (WHERE role = 'assistant') AS last_reply
-  FROM conversations GROUP BY conv_id)
-SELECT f.conv_id, p.text AS prompt, b.text AS base_response, t.text AS fine_tuned_response,
-       CAST(length(b.text) AS INTEGER) AS base_chars,
-       CAST(length(t.text) AS INTEGER) AS fine_tuned_chars, b.text = t.text AS same_text
-FROM firsts f
-JOIN conversations p ON p.conv_id = f.conv_id AND p.turn = f.asked
-JOIN conversations b ON b.conv_id = f.conv_id AND b.turn = f.first_reply
-JOIN conversations t ON t.conv_id = f.conv_id AND t.turn = f.last_reply""",
+  FROM conversations GROUP BY conv_id),
+replies AS (
+  SELECT split_part(p.text, ' ', 1) AS prompt, b.text AS base, t.text AS tuned
+  FROM firsts f
+  JOIN conversations p ON p.conv_id = f.conv_id AND p.turn = f.asked
+  JOIN conversations b ON b.conv_id = f.conv_id AND b.turn = f.first_reply
+  JOIN conversations t ON t.conv_id = f.conv_id AND t.turn = f.last_reply),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY prompt ORDER BY md5(base), base) AS nth_base,
+         row_number() OVER (PARTITION BY prompt ORDER BY md5(tuned), tuned) AS nth_tuned
+  FROM replies)
+SELECT x.prompt, x.base AS base_response, y.tuned AS fine_tuned_response,
+       CAST(length(x.base) AS INTEGER) AS base_chars,
+       CAST(length(y.tuned) AS INTEGER) AS fine_tuned_chars, x.base = y.tuned AS same_text
+FROM numbered x JOIN numbered y ON x.prompt = y.prompt AND x.nth_base = y.nth_tuned""",
+    "sft_fault_lines": FAULT_LINES
+    + "SELECT shard, line_no, line, fault FROM placed WHERE text <> '' AND fault IS NOT NULL",
+    "sft_max_check": FAULT_LINES
+    + "SELECT coalesce(fault, 'ok') AS result, CAST(count(*) AS BIGINT) AS line_count FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY shard ORDER BY line_no) AS nth FROM placed WHERE text <> '') "
+    f"WHERE nth <= {MAX_CHECK} GROUP BY ALL",
+    "conversation_text": f"""
+WITH pieces AS (SELECT conv_id, turn, {EVERY_TURN} AS piece FROM conversations),
+placed AS (
+  SELECT *, sum(length(piece)) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, piece
+                                     ROWS UNBOUNDED PRECEDING) - length(piece) AS begins FROM pieces)
+SELECT conv_id, CAST(begins // {PART_CHARS} AS BIGINT) AS part, CAST(min(begins) AS BIGINT) AS start,
+       string_agg(piece, '' ORDER BY begins) AS text
+FROM placed GROUP BY conv_id, begins // {PART_CHARS}""",
+    "csv_scan": "WITH "
+    + FEED
+    + "SELECT InvoiceNo, StockCode, trim(Description) AS Description, "
+    "CAST(Quantity AS VARCHAR) AS Quantity, InvoiceDate, UnitPrice, CustomerID, Country FROM feed",
     "loss_curve": "SELECT event_id AS step, value AS loss FROM events "
     "WHERE event_type = 'purchase' AND value IS NOT NULL ORDER BY step",
     "train_subset": DOC_LENGTHS
@@ -487,4 +525,16 @@ def all_sql() -> dict[str, str]:
     found.update({name: over_feed("n", body) for name, body in ONLY_N.items()})
     found.update({name: over_feed("s", body) for name, body in ONLY_S.items()})
     found.update(OTHER)
+    found.update(
+        {
+            "built_line_items": found["line_items"],
+            "built_typed_examples": found["sft_examples"],
+            "built_jsonl": over_feed("n", "SELECT split, json FROM split_examples"),
+            "built_split_counts": found["split_counts"],
+            "built_token_lengths": found["token_lengths"],
+            "built_ranking": found["product_ranking"],
+            "built_jsonl_s": over_feed("s", "SELECT split, json FROM split_examples"),
+            "built_token_summary_s": found["token_summary"],
+        }
+    )
     return found

@@ -15,6 +15,7 @@ from ledgertalk.config import Recipe
 from ledgertalk.functions.text import messages_json
 from ledgertalk.operators import baskets as bk
 from ledgertalk.operators import catalog, clean, examples, orders, quality, report, trainprep
+from ledgertalk.plans import job
 from ledgertalk.plans.stages import Kept, all_examples
 from ledgertalk.session import tuned
 from ledgertalk.sources import testdata, tables
@@ -218,9 +219,8 @@ def money_as_text(df: DataFrame) -> DataFrame:
 
 def csv_roundtrip(feed: Feed) -> DataFrame:
     """The feed written as CSV text, then read through the transaction reader."""
-    path = scratch_path(feed.spark, "transactions_csv")
-    write_csv(testdata.transactions(feed.spark, feed.sf_dir), path, files=None)
-    return clean.normalize(tables.read_transactions(feed.spark, path), "n")
+    raw = tables.read_transactions(feed.spark, raw_csv(feed.spark, feed.sf_dir))
+    return clean.normalize(raw, "n")
 
 
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,6 +238,76 @@ def checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.checked_lines(testdata.damaged_jsonl(testdata.exchanges(spark, sf_dir)))
 
 
+# Lines of each file that ``sft_max_check`` checks, and characters of a part of
+# ``conversation_text``: the longest test conversations have several parts.
+MAX_CHECK = 25
+PART_CHARS = 4000
+
+
+def fault_lines(spark: SparkSession, sf_dir: str, max_check: int | None = None) -> DataFrame:
+    """The damaged lines written as files, then checked where they are."""
+    path = scratch_path(spark, "damaged")
+    testdata.damaged_files(spark, sf_dir, path)
+    shard = F.regexp_extract("file", r"shard=(\d+)", 1).cast("bigint").alias("shard")
+    return job.checked(spark, path, max_check).select(shard, "line_no", "line", "fault")
+
+
+def raw_csv(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "raw_csv")
+    write_csv(testdata.transactions(spark, sf_dir), path, files=None)
+    return path
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw CSV as it is read, before any cleaning; prices as numbers for the comparison."""
+    rows = tables.read_transactions(spark, raw_csv(spark, sf_dir))
+    return rows.withColumn("UnitPrice", F.col("UnitPrice").cast("double"))
+
+
+def built(read: Callable[[SparkSession, str], DataFrame], profile: str) -> Query:
+    """A whole run from raw CSV into a folder, of which one output is read back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = scratch_path(spark, "out")
+        job.build(spark, raw_csv(spark, sf_dir), out, RECIPES[profile])
+        return read(spark, out)
+
+    return query
+
+
+def built_queries() -> dict[str, Query]:
+    def jsonl(spark: SparkSession, out: str) -> DataFrame:
+        paths = {split: f"{out}/{split}_jsonl" for split in ("train", "eval")}
+        return tables.read_chat_jsonl(spark, paths).select("split", messages_json().alias("json"))
+
+    def parquet(name: str) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, out: spark.read.parquet(f"{out}/{name}")
+
+    def csv(name: str, schema: str) -> Callable[[SparkSession, str], DataFrame]:
+        return lambda spark, out: tables.read_csv_parts(spark, f"{out}/{name}", schema)
+
+    counts = "split string, example_type string, count bigint"
+    ranking = (
+        "StockCode string, ProductName string, order_count bigint, units_sold bigint, "
+        "avg_price double, country_count bigint"
+    )
+    summary = (
+        "split string, sample_count bigint, min_tokens int, p25_tokens int, median_tokens int, "
+        "p75_tokens int, max_tokens int"
+    )
+    lengths = "example_type string, approx_tokens int"
+    return {
+        "built_line_items": built(parquet("clean_purchases_parquet"), "n"),
+        "built_typed_examples": built(parquet("examples_with_type_parquet"), "n"),
+        "built_jsonl": built(jsonl, "n"),
+        "built_split_counts": built(csv("stats/split_counts_csv", counts), "n"),
+        "built_token_lengths": built(csv("stats/token_lengths_csv", lengths), "n"),
+        "built_ranking": built(csv("stats/product_stats_csv", ranking), "n"),
+        "built_jsonl_s": built(jsonl, "s"),
+        "built_token_summary_s": built(csv("eda/token_length_summary", summary), "s"),
+    }
+
+
 def document_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     recipe = RECIPES["n"]
     rows = testdata.document_lengths(spark, sf_dir)
@@ -254,6 +324,8 @@ def other_queries() -> dict[str, Query]:
         "sft_violations": lambda s, d: quality.violations(checked(s, d)).select(
             "conv_id", "turn", "fault"
         ),
+        "sft_fault_lines": lambda s, d: quality.violations(fault_lines(s, d)),
+        "sft_max_check": lambda s, d: quality.fault_counts(fault_lines(s, d, MAX_CHECK)),
         "conv_role_check": lambda s, d: quality.conversation_checks(
             testdata.table(s, d, "conversations")
         ),
@@ -265,9 +337,13 @@ def other_queries() -> dict[str, Query]:
         ),
         "turn_text": lambda s, d: trainprep.turn_text(testdata.table(s, d, "conversations")),
         "turn_prompt": lambda s, d: trainprep.turn_prompt(testdata.table(s, d, "conversations")),
+        "conversation_text": lambda s, d: trainprep.conversation_text(
+            testdata.table(s, d, "conversations"), PART_CHARS
+        ),
         "jsonl_roundtrip": jsonl_roundtrip,
+        "csv_scan": csv_scan,
         "response_compare": lambda s, d: trainprep.compare_responses(
-            *testdata.model_responses(s, d), on=["conv_id"]
+            *testdata.model_responses(s, d)
         ),
         "loss_curve": lambda s, d: report.loss_curve(testdata.training_log(s, d)),
         "train_subset": document_subset,
@@ -289,6 +365,10 @@ def _on_feed(stage: StageQuery, profile: str, spark: SparkSession, sf_dir: str)
     return stage(Feed(tuned(spark), sf_dir, profile))
 
 
+def _on_tables(query: Query, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query(tuned(spark), sf_dir)
+
+
 def all_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for name, stage in stage_queries().items():
@@ -298,5 +378,6 @@ def all_queries() -> dict[str, Query]:
         found[name] = partial(_on_feed, stage, "n")
     for name, stage in s_queries().items():
         found[name] = partial(_on_feed, stage, "s")
-    found.update(other_queries())
+    for name, query in {**other_queries(), **built_queries()}.items():
+        found[name] = partial(_on_tables, query)
     return found

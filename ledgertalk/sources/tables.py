@@ -1,4 +1,4 @@
-"""Readers: transaction CSV, chat JSONL, folders of CSV parts, literal rows."""
+"""Readers: transaction CSV, chat JSONL, numbered lines, folders of CSV parts."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 def require_columns(df: DataFrame, needed: Iterable[str] = TRANSACTION_COLUMNS) -> DataFrame:
     missing = [name for name in needed if name not in df.columns]
     if missing:
-        raise ValueError(f"transactions lack {missing}; the input has {df.columns}")
+        raise ValueError(f"rows lack {missing}; the input has {df.columns}")
     return df
 
 
@@ -41,6 +41,17 @@ def read_chat_jsonl(spark: SparkSession, splits: Mapping[str, str]) -> DataFrame
     return merged
 
 
+def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``value, file, block, row``: text lines with the file they are from, the offset of the
+    block of it that one task reads, and a number that grows by one along the block."""
+    return spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+
+
 def read_csv_parts(spark: SparkSession, folder: str, schema: StructType | str) -> DataFrame:
     """All ``part-*`` CSV files of a folder; an absent or empty folder is an error."""
     try:
@@ -51,8 +62,3 @@ def read_csv_parts(spark: SparkSession, folder: str, schema: StructType | str) -
     if not found:
         raise FileNotFoundError(f"{folder} holds no part-* file of a table")
     return df
-
-
-def metric_rows(spark: SparkSession, rows: Iterable[tuple[str, int]]) -> DataFrame:
-    """Small literal ``metric, value`` table."""
-    return spark.createDataFrame(list(rows), "metric string, value bigint")

@@ -152,7 +152,8 @@ def damaged_jsonl(exchange_rows: DataFrame) -> DataFrame:
 
 
 def model_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Two response tables per conversation: its first and its last assistant turn."""
+    """Two response tables: the first and the last assistant turn of every conversation, to a
+    prompt that is the first word of its first question and that many share."""
     turns = table(spark, sf_dir, "conversations")
 
     def reply(pick, name: str) -> DataFrame:
@@ -160,8 +161,9 @@ def model_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         said = F.when(F.col("role") == "assistant", F.col("turn"))
         return (
             turns.groupBy("conv_id")
-            .agg(F.min_by("text", asked).alias("prompt"), pick("text", said).alias(name))
-            .filter(F.col("prompt").isNotNull() & F.col(name).isNotNull())
+            .agg(F.min_by("text", asked).alias("question"), pick("text", said).alias(name))
+            .filter(F.col("question").isNotNull() & F.col(name).isNotNull())
+            .select(F.substring_index("question", " ", 1).alias("prompt"), name)
         )
 
     return reply(F.min_by, "base_response"), reply(F.max_by, "fine_tuned_response")
@@ -180,3 +182,19 @@ def document_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id", tokens_by_chars(F.col("text")).alias("approx_tokens")
     )
+
+
+# Files of ``damaged_files``.
+DAMAGED_FILES = 4
+
+
+def damaged_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The damaged lines, some blank, in files by conversation, each in order of its turns."""
+    lines = damaged_jsonl(exchanges(spark, sf_dir))
+    shard = F.col("conv_id") % DAMAGED_FILES
+    text = F.when(F.col("turn") % 3 == 2, "").otherwise(F.col("line"))
+    lines.select(shard.alias("shard"), "conv_id", "turn", text.alias("value")).repartition(
+        DAMAGED_FILES, "shard"
+    ).sortWithinPartitions("shard", "conv_id", "turn").select("shard", "value").write.partitionBy(
+        "shard"
+    ).text(path)

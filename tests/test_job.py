@@ -63,6 +63,9 @@ def test_profile_n_run(spark, feed, tmp_path):
     job.prepare(spark, str(out / "train_jsonl"), str(out / "eval_jsonl"), str(tmp_path / "p"), 64, 42)
     text = spark.read.parquet(str(tmp_path / "p/model_text_parquet"))
     assert text.count() == 100 and text.filter("text LIKE '<|start_header_id|>system%'").count() == 100
+    prompts = spark.read.parquet(str(tmp_path / "p/model_prompt_parquet"))
+    assert prompts.count() == 100
+    assert prompts.filter("prompt LIKE '%<|start_header_id|>assistant<|end_header_id|>\n\n'").count() == 100
     plan = spark.read.parquet(str(tmp_path / "p/packing_parquet"))
     assert plan.count() == len(train)
 
@@ -78,6 +81,8 @@ def test_profile_s_run(spark, feed, tmp_path):
     summary = {k: int(v) for k, v in metrics(out / "eda/cleaning_summary").items()}
     assert set(summary) == {"raw_rows", "clean_purchase_rows", "cancellation_or_invalid_rows"}
     assert len(read_lines(out / "samples/sample_jsonl")) == 20
+    job.figures_s(spark, str(out / "eda"), str(tmp_path / "f"))
+    assert {p.name for p in (tmp_path / "f").iterdir()} == {"split_pivot", "token_buckets", "top15_products"}
     for name in ("example_type_by_split", "token_length_summary", "token_length_histogram", "top_products"):
         assert list((out / "eda" / name).glob("part-*"))
 
@@ -97,3 +102,32 @@ def test_both_basket_flags_and_profile_defaults():
     assert (s.basket_cap, s.rec_seed, s.cancel_seed) == (7, 7, 99)
     assert recipe_from(arguments(line + ["--profile", "s"])).basket_cap == 30
     assert recipe_from(arguments(line + ["--seed", "5"])).cancel_seed == 7
+
+
+def test_faulty_lines_are_reported_by_file_and_number(spark, tmp_path, capsys):
+    from ledgertalk.__main__ import validate
+
+    sound = json.dumps({"messages": [{"role": r, "content": "x"} for r in ("system", "user", "assistant")]})
+    (tmp_path / "some.jsonl").write_text("\n".join([sound, "", "broken", sound, '{"x":1}']) + "\n")
+    assert validate(spark, [str(tmp_path / "some.jsonl")], None, str(tmp_path / "report")) == 1
+    printed = capsys.readouterr().out
+    assert "some.jsonl:3\tnot_json" in printed and "some.jsonl:5\tno_message_list" in printed
+    text = "".join(p.read_text() for p in (tmp_path / "report" / "0").glob("part-*"))
+    assert text.count("some.jsonl,") == 2 and ",3,broken,not_json" in text
+    assert validate(spark, [str(tmp_path / "some.jsonl")], 1) == 0
+
+
+def test_comparison_and_losses_from_csv(spark, tmp_path):
+    (tmp_path / "base.csv").write_text('prompt,base_response\np,"one, ""two""\nlines"\nq,x\n')
+    (tmp_path / "tuned.csv").write_text("prompt,fine_tuned_response,prompt_id\nq,x,1\nz,y,2\n")
+    job.compare(spark, str(tmp_path / "base.csv"), str(tmp_path / "tuned.csv"), str(tmp_path / "both"))
+    text = "".join(p.read_text() for p in (tmp_path / "both").glob("part-*"))
+    assert "q,x,x,1,1,true" in text and "one" not in text
+    (tmp_path / "log.csv").write_text("loss,step,rate\n0.5,20,1\n,30,1\n0.75,10,1\n")
+    job.losses(spark, str(tmp_path / "log.csv"), str(tmp_path / "curve"))
+    (part,) = (tmp_path / "curve").glob("part-*")
+    assert part.read_text() == "step,loss\n10,0.75\n20,0.5\n"
+    (tmp_path / "bare.csv").write_text("step\n1\n")
+    job.losses(spark, str(tmp_path / "bare.csv"), str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="base_response"):
+        job.compare(spark, str(tmp_path / "log.csv"), str(tmp_path / "tuned.csv"), str(tmp_path / "x"))

@@ -71,8 +71,40 @@ def test_jsonl_splits(spark, tmp_path):
     assert found == {"train": "t é", "validation": "v é"}
 
 
-def test_metric_rows(spark):
-    assert [tuple(r) for r in tables.metric_rows(spark, [("a", 1)]).collect()] == [("a", 1)]
+def test_lines_fill_as_many_files_as_their_bytes_need(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_BYTES", 1000)
+    df = spark.range(100).selectExpr("concat('é', lpad(id, 97, 'x')) AS json").repartition(7)
+    sinks.write_lines(df, str(tmp_path / "sized"))
+    parts = list((tmp_path / "sized").glob("part-*"))
+    assert len(parts) == 10
+    assert sorted(line for p in parts for line in p.read_text().split()) == sorted(r.json for r in df.collect())
+    sinks.write_lines(df.limit(0), str(tmp_path / "none"))
+    assert sum(len(p.read_text()) for p in (tmp_path / "none").glob("part-*")) == 0
+
+
+def test_lines_know_their_place_in_a_file_of_many_blocks(spark, tmp_path):
+    from ledgertalk.operators import quality
+
+    rows = {}
+    for name, n in (("a", 700), ("b", 3), ("c", 250)):
+        text = [("" if i % 5 == 3 else f"{name}{i} " + "x" * (i % 40)) for i in range(n)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(text) + "\n")
+        rows[name] = [(i + 1, line) for i, line in enumerate(text) if line]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        lines = tables.read_numbered_lines(spark, str(tmp_path))
+        assert lines.select("file", "block").distinct().count() > 6
+        for most in (None, 1, 100, 137, 10_000):
+            found = {}
+            for r in quality.checked_files(lines, most).collect():
+                found.setdefault(r.file[-7], []).append((r.line_no, r.line))
+                assert r.fault == "not_json"
+            assert {name: sorted(x) for name, x in found.items()} == {
+                name: x[:most] for name, x in rows.items()
+            }
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_stored_tables_live_in_the_shared_folder(spark):

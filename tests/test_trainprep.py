@@ -70,3 +70,50 @@ def test_response_comparison(spark):
     tuned = spark.createDataFrame([("p", "x"), ("q", "yy")], "prompt string, fine_tuned_response string")
     rows = sorted(tuple(r) for r in trainprep.compare_responses(base, tuned).collect())
     assert rows == [("p", "x", "x", 1, 1, True), ("q", "y", "yy", 1, 2, False)]
+
+
+def test_repeated_prompts_meet_in_order_of_reply_hashes(spark, monkeypatch):
+    monkeypatch.setattr(trainprep, "REPEATS", 4)
+    rng = random.Random(2)
+    left = [(rng.choice(["p", "p", "p", "q", None]), rng.choice(["x", "y", "z", "", None, "long"])) for _ in range(120)]
+    right = [(rng.choice(["p", "p", "q", "r"]), rng.choice(["x", "u", "v", None])) for _ in range(90)]
+    left += [("hot", "same")] * 50
+    right += [("hot", "same")] * 30 + [("hot", "other")] * 30
+    base = spark.createDataFrame(left, "prompt string, base_response string")
+    tuned = spark.createDataFrame(right, "prompt string, fine_tuned_response string")
+
+    def order(reply):
+        return (hashlib.md5((reply or "").encode()).hexdigest(), reply is not None, reply or "")
+
+    wanted = []
+    for prompt in ("p", "q", "hot"):
+        a = sorted((y for x, y in left if x == prompt), key=order)
+        b = sorted((y for x, y in right if x == prompt), key=order)
+        wanted += [(prompt, x, y) for x, y in zip(a, b)]
+    found = [tuple(r)[:3] for r in trainprep.compare_responses(base, tuned).collect()]
+    assert sorted(found, key=repr) == sorted(wanted, key=repr)
+
+
+@pytest.mark.parametrize("size", [1, 90, 400, 10**6])
+def test_conversations_are_cut_between_turns(spark, monkeypatch, size):
+    monkeypatch.setattr(trainprep, "TURN_BLOCK", 4)
+    rng = random.Random(size)
+    rows, whole = [], {}
+    for conv in [1, 2, 3, None]:
+        turns = [None] * (conv == 2) + list(range(-3, rng.choice([1, 6, 40])))
+        said = [(t, rng.choice(["user", "assistant", None]), rng.choice(["", None, "a", "é" * 30])) for t in turns]
+        said += said[-1:] * 2
+        rows += [(conv, *turn) for turn in said]
+        whole[conv] = [turn(r or "", c or "") for _, r, c in sorted(said, key=lambda s: (s[0] is not None, s[0] or 0, turn(s[1] or "", s[2] or "")))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {}
+    for r in trainprep.conversation_text(df, size).collect():
+        found.setdefault(r.conv_id, []).append((r.part, r.start, r.text))
+    for conv, pieces in whole.items():
+        parts, at = {}, 0
+        for piece in pieces:
+            parts.setdefault(at // size, [at, ""])[1] += piece
+            at += len(piece)
+        assert sorted(found[conv]) == [(k, start, text) for k, (start, text) in sorted(parts.items())]
+        assert "".join(text for *_, text in sorted(found[conv])) == "".join(pieces)
