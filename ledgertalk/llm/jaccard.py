@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import log
 
 import numpy as np
@@ -316,9 +317,12 @@ class Join:
         )
         entries = stored(tokens.join(shared, "token", "left_semi"), "entries")
         common = stored(_common(entries), "common")
+        # Entries of sets known whole, each table written once, and those sets' ids.
+        whole_entries: list[DataFrame] = []
         whole_ids: DataFrame | None = None
         while True:
-            prefixes = stored(self._prefixes(entries, common), "prefixes")
+            every = reduce(DataFrame.unionByName, whole_entries, entries)
+            prefixes = stored(self._prefixes(every, common), "prefixes")
             heavy = prefixes.filter(F.col("token").isNull()).select("set_id").distinct()
             heavy = stored(heavy, "heavy")
             if heavy.limit(1).count() == 0:
@@ -342,13 +346,8 @@ class Join:
             in_regions = tokens.join(wanted, "token", "left_semi")
             in_regions = in_regions.join(few, "set_id", "left_anti")
             before = entries.join(few, "set_id", "left_anti")
-            kept_whole = entries.filter(F.col("known") == F.col("n")).join(
-                few, "set_id", "left_semi"
-            )
-            entries = stored(
-                before.unionByName(in_regions).distinct().unionByName(kept_whole).unionByName(full),
-                "entries",
-            )
+            entries = stored(before.unionByName(in_regions).distinct(), "entries")
+            whole_entries.append(full)
             common = stored(common.unionByName(_common(full)).distinct(), "common")
 
     def _prefixes(self, entries: DataFrame, common: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ again, and each document's mean log-probability is taken over its whole text. Wh
 and answered follows the input; a gram that all documents hold is asked once a block.
 
 A document is kept unless its perplexity exceeds its language's threshold: ``MARGIN`` times
-a high quantile over the trusted documents of that language, or of all languages where it
-has none. For the quantile a trusted document is scored by a model that has not counted it,
+a high quantile over the trusted documents of that language. A language without any has no
+threshold and its documents are kept: a model that has seen nothing of it finds all of it
+improbable, which is no evidence against one of them. For the quantile a trusted document is scored by a model that has not counted it,
 nor any text of its fold. The quantile of few documents is about their largest perplexity,
 which may be too low: if it is below the quantile of all languages, it is moved towards that
 one, as a geometric mean with weights of its number of documents and ``PRIOR_DOCS``. It is
@@ -425,7 +426,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     smoothed = F.exp(
         (F.col("n") * F.log("own") + PRIOR_DOCS * F.log(overall)) / (F.col("n") + PRIOR_DOCS)
     )
-    threshold = F.coalesce(F.greatest("own", smoothed), overall)
+    threshold = F.greatest("own", smoothed)
     return found.join(by_language, same, "left").select(
         "doc_id",
         "lang",

@@ -338,11 +338,9 @@ def test_a_language_with_few_trusted_documents_keeps_its_clean_ones(spark):
         assert kept["xx"] >= 38 and kept["en"] >= 58, (trusted, kept)
 
 
-def test_thresholds_equal_plain_models_of_the_other_folds(spark):
-    sf = "/root/testdata/sf0.001"
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    good = {r.doc_id for r in quality_lm.trusted_ids(labels).collect()}
-    rows = docs.withColumn("fold", quality_lm.fold_of(docs["text"])).collect()
+def plain_thresholds(rows, good):
+    """The threshold of each language of ``rows`` (doc_id, lang, text, fold): quantiles of what
+    the trusted ones get from a plain model of the other fold."""
 
     def perplexity(p, text):
         c = codes(text)
@@ -360,15 +358,37 @@ def test_thresholds_equal_plain_models_of_the_other_folds(spark):
     def quantile(values):
         return sorted(values)[math.ceil(quality_lm.QUANTILE * len(values)) - 1]
 
-    top = quantile(held[all])
-    for r in quality_lm.judged(docs, labels).collect():
-        n, own = len(held[r.lang]), quantile(held[r.lang] or held[all])
-        prior = quality_lm.PRIOR_DOCS
+    top = quantile(held.pop(all))
+    found = {}
+    for lang, values in held.items():
+        n, own, prior = len(values), quantile(values), quality_lm.PRIOR_DOCS
         want = max(own, math.exp((n * math.log(own) + prior * math.log(top)) / (n + prior)))
-        assert math.isclose(r.threshold, quality_lm.MARGIN * want, rel_tol=1e-5)
+        found[lang] = quality_lm.MARGIN * want
+    return found
+
+
+def test_thresholds_equal_plain_models_of_the_other_folds(spark):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    good = {r.doc_id for r in quality_lm.trusted_ids(labels).collect()}
+    rows = docs.withColumn("fold", quality_lm.fold_of(docs["text"])).collect()
+    want = plain_thresholds(rows, good)
+    for r in quality_lm.judged(docs, labels).collect():
+        assert math.isclose(r.threshold, want[r.lang], rel_tol=1e-5)
         assert r.kept == (r.perplexity <= r.threshold)
 
 
+def test_a_language_without_trusted_text_is_not_judged(spark):
+    """There is no evidence against its documents."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    spanish = docs.filter("lang = 'es'").select("doc_id")
+    found = quality_lm.judged(docs, labels.join(spanish, "doc_id", "left_anti")).collect()
+    here = [r for r in found if r.lang == "es"]
+    assert here and all(r.kept and r.threshold is None and r.perplexity for r in here)
+    assert any(not r.kept for r in found)
+
+
 def test_without_trusted_text_all_stay(spark):
     docs = spark.createDataFrame([(1, "some text", "en")], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

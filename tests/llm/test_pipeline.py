@@ -14,7 +14,7 @@ import pyarrow.parquet as pq
 from ledgertalk.llm import packing, pii, quality_lm, queries
 from test_bpe_and_packing import library_ids, plain_best_fit
 from test_jaccard import all_pairs
-from test_others import codes, plain_model, plain_spans, rule_numbers
+from test_others import codes, plain_model, plain_spans, plain_thresholds, rule_numbers
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,17 +55,15 @@ def test_run_equals_brute_force(spark):
         return math.exp(-sum(known[g] for g in grams) / len(grams)) if grams else None
 
     scores = [perplexity(d["text"]) for d in docs]
-    of_lang = defaultdict(list)
-    for d, s in zip(docs, scores, strict=True):
-        if d["doc_id"] in good and s is not None:
-            of_lang[d["lang"]].append(s)
-            of_lang[all].append(s)
-
-    def threshold(lang):
-        found = sorted(of_lang[lang] or of_lang[all])
-        return quality_lm.MARGIN * found[math.ceil(quality_lm.QUANTILE * len(found)) - 1]
-
-    kept = [d for d, s in zip(docs, scores, strict=True) if s is None or s <= threshold(d["lang"])]
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    limits = plain_thresholds(
+        table.withColumn("fold", quality_lm.fold_of(table["text"])).collect(), good
+    )
+    kept = [
+        d
+        for d, s in zip(docs, scores, strict=True)
+        if s is None or s <= limits.get(d["lang"], math.inf)
+    ]
     kept = [d for d in kept if rules_pass(d["text"])]
     near = all_pairs([(d["doc_id"], d["text"]) for d in kept], corpus_pipeline.NEAR)
     first = {i for i, _, least in near if i == least}
@@ -97,7 +95,7 @@ def test_stages_keep_the_columns_of_documents(spark):
 
 def test_every_operator_has_one_query():
     names = list(queries.llm_queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and set(queries.llm_sql()) <= set(names)
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
