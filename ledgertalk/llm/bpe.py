@@ -178,6 +178,13 @@ def units(word: str) -> tuple[str, ...]:
     return (word,)
 
 
+def forget(path: str) -> None:
+    """Drop what this worker remembers of a vocabulary."""
+    _letters.pop(path, None)
+    for cached in (tokenizer, _letter_tokenizer, pieces, _ends_word):
+        cached.cache_clear()
+
+
 def encoded_units(wanted: list[str], path: str) -> list[bytes]:
     """Ids of units as little-endian unsigned 32-bit integers."""
     letters = [u for u in wanted if u.isalpha() and (u.isascii() or _regular(u))]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +51,17 @@ def few_at_once(column: pa.Array, rows: int = 512) -> Iterator:
         yield from column.slice(at, rows).to_pylist()
 
 
+def give_back() -> None:
+    """Return to the system what a task has freed. A Python worker outlives its task, and what
+    it keeps is missing to the workers of the next stage on the same machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Only the GNU C library has this.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def compressed(df: DataFrame) -> DataFrame:
     """The rows with ``text`` as compressed bytes, for a shuffle; null and empty as null."""
 

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import few_at_once, small_or_shuffled, with_fields
+from ledgertalk.llm.common import few_at_once, give_back, small_or_shuffled, with_fields
 from ledgertalk.llm.components import components
 from ledgertalk.sources.scratch import stored
 
@@ -177,6 +177,7 @@ def described(docs: DataFrame, linking: Linking, text_column: str = "text") -> D
                 ["doc_id", "text_hash", "n", "set_id", "bands", "region"],
             )
         _words.clear()
+        give_back()
 
     return docs.select(
         "doc_id", F.col(text_column).alias("text"), F.xxhash64(text_column).alias("text_hash")

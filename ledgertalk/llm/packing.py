@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.bpe import Memory, encoded_words, words_of
-from ledgertalk.llm.common import with_fields
+from ledgertalk.llm.bpe import Memory, encoded_words, forget, words_of
+from ledgertalk.llm.common import give_back, with_fields
 from ledgertalk.sources.scratch import stored
 
 LENGTH = 2048
@@ -66,7 +66,8 @@ def pieces(
     remembered: int | None = None,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: a text's ids and the end id, cut where
-    they exceed a sequence."""
+    they exceed a sequence. With ``remembered``, a worker remembers so many words, and only
+    until its task ends: for jobs in which other stages follow."""
     schema = with_fields(
         docs.select("doc_id").schema,
         "piece int, start long, length long, ids_crc32 long",
@@ -98,6 +99,10 @@ def pieces(
                     ],
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        if remembered is not None:
+            _words.pop(path, None)
+            forget(path)
+            give_back()
 
     return docs.select("doc_id", F.col(text_column).alias("text")).mapInArrow(cut, schema)
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgertalk.llm.common import few_at_once, small_or_shuffled, with_fields
+from ledgertalk.llm.common import few_at_once, give_back, small_or_shuffled, with_fields
 from ledgertalk.sources.scratch import stored
 
 ORDER, BITS = 5, 12
@@ -125,6 +125,7 @@ def counted(docs: DataFrame) -> DataFrame:
                     [pa.array(x.astype(np.int64)) for x in (found, n, *of_fold)],
                     ["gram", *(f"n{s}" for s in MODELS)],
                 )
+        give_back()
 
     schema = ", ".join(["gram long", *(f"n{s} long" for s in MODELS)])
     parts = docs.select("text", fold_of(F.col("text")).alias("fold")).mapInArrow(count, schema)
@@ -276,6 +277,8 @@ def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from flush()
             held.clear()
     yield from flush()
+    held.clear()
+    give_back()
 
 
 def log_probabilities(

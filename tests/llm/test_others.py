@@ -562,3 +562,32 @@ def test_base_hash_is_of_the_written_spans():
     spans = [(5, 9, "phone"), (0, 4, "ip"), (0, 4, "email")]
     assert pii.written(spans) == "email:0:4,ip:0:4,phone:5:9"
     assert len(hashlib.sha256(pii.written([]).encode()).hexdigest()) == 64
+
+
+def test_long_runs_of_numbers_pad_no_others():
+    """A text of very many numbers beside short ones: bounded memory, and the same spans."""
+    import tracemalloc
+
+    dice = random.Random(8)
+    examples = []
+    for _ in range(60):
+        number = f"{dice.randrange(200, 999)}-{dice.randrange(100, 999)}-{dice.randrange(1000, 9999)}"
+        tokens = ["call", number, "or", str(dice.randrange(99))]
+        examples.append((pii.features(tokens), [0, pii.LABELS.index("B-phone"), 0, 0]))
+    field = pii.train(examples)
+    short = [f"call {dice.randrange(200, 999)}-555-{dice.randrange(1000, 9999)} or {i}" for i in range(300)]
+    long = " ".join(str(dice.randrange(10**6)) for _ in range(200_000))
+    bases = [pii.base_spans(t) for t in short]
+    alone = pii.added_spans(short, bases, field)
+    assert sum(map(bool, alone)) > 250
+    tracemalloc.start()
+    mixed = pii.added_spans([long, *short], [pii.base_spans(long), *bases], field)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert mixed[1:] == alone
+    assert peak < 400e6
+    # Parts of a run are scored with their neighbours.
+    run = pii.sequences(long[:60_000])
+    whole = field.scores([pii.features([long[a:b] for a, b in run[0]])])[0]
+    parts, _ = pii._emissions([long[:60_000]], [(0, run[0])], field)
+    assert np.array_equal(whole, parts)
