@@ -47,8 +47,10 @@ LIST, MOST_LISTS = 128, 8_192
 # Replicas of a vector, and how much farther (in squared distance) their centroids may be.
 REPLICAS, BOUNDARY = 4, 1.15
 NEIGHBOURS, BEAM, WALK = 24, 192, 12
+# The beam that finds a vector's own few lists.
+NEAR_BEAM = 32
 RATIOS = tuple(1 + 0.02 * i for i in range(60))
-TARGET = 0.97
+TARGET = 0.99
 # Neighbouring lists are searched together, up to so many entries, by so many queries.
 BLOCK_ENTRIES, BLOCK_QUERIES = 16_384, 2_048
 BATCH = 256
@@ -58,7 +60,6 @@ BATCH = 256
 class Index:
     centroids: np.ndarray
     graph: np.ndarray
-    starts: np.ndarray
     ratio: float
     length: float
 
@@ -113,15 +114,21 @@ def neighbour_graph(centroids: np.ndarray) -> np.ndarray:
     return np.hstack([graph, far])
 
 
-def nearest_lists(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def nearest_lists(
+    index: Index, points: np.ndarray, beam: int = BEAM
+) -> tuple[np.ndarray, np.ndarray]:
     """Centroids by a beam search of the graph, nearest first, and their squared distances."""
+    found = [
+        _walked(index, points[at : at + BATCH], beam) for at in range(0, len(points), BATCH)
+    ]
+    return np.concatenate([x for x, _ in found]), np.concatenate([d for _, d in found])
+
+
+def _walked(index: Index, points: np.ndarray, beam_width: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(index.centroids)
-    width = min(BEAM, n)
-    if n <= 2 * BEAM:
-        d = squares(points, index.centroids)
-        order = np.argsort(d, axis=1, kind="stable")[:, :width]
-        return order, np.take_along_axis(d, order, 1)
-    beam = np.tile(index.starts[:width], (len(points), 1))
+    width = min(beam_width, n)
+    # Evenly over the centroids, whose order is that of the halving.
+    beam = np.tile(np.linspace(0, n - 1, width).astype(np.int64), (len(points), 1))
     own = (index.centroids * index.centroids).sum(1)
 
     def distance(ids: np.ndarray) -> np.ndarray:
@@ -129,7 +136,7 @@ def nearest_lists(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndar
 
     best = distance(beam)
     for _ in range(WALK):
-        lead = beam[:, : width // 8]
+        lead = beam[:, : max(4, width // 8)]
         more = index.graph[lead].reshape(len(points), -1)
         ids = np.hstack([beam, more])
         d = np.hstack([best, distance(more)])
@@ -148,7 +155,7 @@ def nearest_lists(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def replicas(index: Index, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and lists of all entries: the nearest list, and those a boundary adds."""
-    lists, d = nearest_lists(index, points)
+    lists, d = nearest_lists(index, points, NEAR_BEAM)
     rows, found = [np.arange(len(points))], [lists[:, 0]]
     chosen = [[c] for c in lists[:, 0]]
     for j in range(1, min(2 * REPLICAS, lists.shape[1])):
@@ -170,8 +177,7 @@ def fit(sample: np.ndarray, length: float, total: int, k: int = K) -> Index:
     wanted = min(MOST_LISTS, max(1, total // LIST), max(1, len(points) // 8))
     parts = 1 << (int(wanted).bit_length() - 1)
     centroids = np.stack([points[rows].mean(0) for rows in halved(points, parts)])
-    starts = np.unique(np.linspace(0, parts - 1, min(BEAM, parts)).astype(np.int64))
-    index = Index(centroids, neighbour_graph(centroids), starts, RATIOS[-1], length)
+    index = Index(centroids, neighbour_graph(centroids), RATIOS[-1], length)
     if parts == 1:
         return index
     rows, lists = replicas(index, points)
@@ -192,7 +198,7 @@ def fit(sample: np.ndarray, length: float, total: int, k: int = K) -> Index:
             hits += np.array(RATIOS) >= needed
     enough = np.flatnonzero(hits >= TARGET * true.size)
     ratio = RATIOS[int(enough[0])] if len(enough) else RATIOS[-1]
-    return Index(centroids, index.graph, starts, ratio, length)
+    return Index(centroids, index.graph, ratio, length)
 
 
 def _double(column: str) -> Column:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,6 +37,7 @@ BLOCKS = frozenset(
 )
 # A start tag of the first kind ends an open element of the second, within the third.
 ENDS_P = BLOCKS - frozenset("body caption html li tbody td tfoot th thead tr dd dt".split())
+P_WITHIN = frozenset("td th li button table div article section main blockquote".split())
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
     "dt": ({"dt", "dd"}, {"dl"}),
@@ -66,6 +68,10 @@ DROPPED_NAMES = frozenset(
     "signup skip skyscraper social sponsor sponsored subscribe subscription taboola toolbar "
     "widget widgets".split()
 )
+# Names that a paragraph or a heading of an article may bear as well.
+AMBIGUOUS = frozenset("header login notice related replies reply rss search share skip social".split())
+# A class with one of these words tells a state of the page, not what the element is.
+STATES = frozenset("closed disabled enabled fixed has is layout no not off on open sticky with without".split())
 KEPT_NAMES = frozenset("article content entry main post story text body page".split())
 TAG_POINTS = {"article": 30, "main": 20, "section": 5, "div": 3, "td": 3, "blockquote": 3, "pre": 3}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -86,6 +92,7 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(
     r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I
 )
+NEVER_DROPPED = frozenset("html body article main".split())
 NAME_PARTS = re.compile(r"[a-z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -107,12 +114,15 @@ class Node:
         for name, a, b, c in ATTRIBUTE.findall(attrs):
             name, value = name.lower(), (a or b or c).lower()
             if name in ("class", "id"):
-                parts = NAME_PARTS.findall(value)
-                self.named |= not KEPT_NAMES.isdisjoint(parts)
-                unwanted = not DROPPED_NAMES.isdisjoint(parts)
-                # "article-header" or "post-comments" is no article; "content" beside "header" is.
-                if unwanted and self.tag not in ("html", "body", "article", "main"):
-                    self.dropped = True
+                for one in value.split():
+                    parts = NAME_PARTS.findall(one)
+                    self.named |= not KEPT_NAMES.isdisjoint(parts)
+                    if STATES.isdisjoint(parts) and self.tag not in NEVER_DROPPED:
+                        unwanted = DROPPED_NAMES.intersection(parts)
+                        if self.tag in HEADINGS or self.tag == "p":
+                            unwanted -= AMBIGUOUS
+                        # "article-header" or "post-comments" is no article.
+                        self.dropped |= bool(unwanted)
             elif name == "role":
                 self.dropped |= not DROPPED_ROLES.isdisjoint(value.split())
             elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -121,80 +131,115 @@ class Node:
                 self.dropped = True
 
 
+class Open:
+    """The open element of a page that is read, with the number of open ones of each tag, so
+    that an end tag without an open one costs nothing."""
+
+    def __init__(self, root: Node):
+        self.root = self.node = root
+        self.tags: Counter[str] = Counter()
+
+    def enter(self, child: Node) -> None:
+        self.tags[child.tag] += 1
+        self.node = child
+
+    def leave_to(self, outer: Node) -> None:
+        while self.node is not outer:
+            self.tags[self.node.tag] -= 1
+            self.node = self.node.parent
+
+    def close(self, tag: str) -> None:
+        """Leave the nearest open element with this tag; no such one: no change."""
+        seek = self.node
+        while self.tags[tag] and seek.parent is not None:
+            if seek.tag == tag:
+                self.leave_to(seek.parent)
+                return
+            # An inline end tag does not close the block around it.
+            if tag not in BLOCKS and seek.tag in BLOCKS:
+                return
+            seek = seek.parent
+
+    def close_all(self, closing: set[str], within: set[str]) -> None:
+        """Close open elements out to the outermost of ``closing`` found inside ``within``."""
+        if not any(self.tags[tag] for tag in closing):
+            return
+        seek = out = self.node
+        while seek.parent is not None and seek.tag not in within:
+            if seek.tag in closing:
+                out = seek.parent
+            seek = seek.parent
+        self.leave_to(out)
+
+
 def parse(page: str) -> Node:
     """Tree of a page; end tags that HTML lets authors leave out are put in."""
-    root = node = Node("html", None)
+    root = Node("html", None)
+    here = Open(root)
     at = 0
+    # Behind the last ">" there is no markup; a "<" there need not look for one.
+    last = page.rfind(">")
+    unclosed: set[str] = set()
     while at < len(page):
-        found = MARKUP.search(page, at)
+        found = MARKUP.search(page, at) if at <= last else None
         if found is None:
-            node.children.append(page[at:])
+            here.node.children.append(page[at:])
             break
         if found.start() > at:
-            node.children.append(page[at : found.start()])
+            here.node.children.append(page[at : found.start()])
         at = found.end()
         name = found["name"]
         if not name:
             continue
         tag = name.lower()
         if found["end"]:
-            node = _closed(node, tag)
+            here.close(tag)
             continue
         if tag in ("html", "body"):
             if tag == "body":
                 # A body seen first or late takes over what an unclosed head left open.
-                while node.parent is not None and node.tag in DROPPED:
-                    node = node.parent
+                while here.node.parent is not None and here.node.tag in DROPPED:
+                    here.leave_to(here.node.parent)
             continue
         if tag in ENDS_P:
-            node = _without_open(node, {"p"}, {"td", "th", "li", "button", "table"} | {"div", "article", "section", "main", "blockquote"})
+            here.close_all({"p"}, P_WITHIN)
         if tag in SIBLINGS:
-            node = _without_open(node, *SIBLINGS[tag])
-        if tag in HEADINGS and node.tag in HEADINGS:
-            node = node.parent or root
-        child = Node(tag, node, found["attrs"])
-        node.children.append(child)
+            here.close_all(*SIBLINGS[tag])
+        if tag in HEADINGS and here.node.tag in HEADINGS:
+            here.leave_to(here.node.parent or root)
+        child = Node(tag, here.node, found["attrs"])
+        here.node.children.append(child)
         if tag in VOID or found["attrs"].endswith("/") and tag in ("path", "svg", "circle"):
             continue
         if tag in RAW:
-            end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+            end = None
+            if tag not in unclosed:
+                end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
             if end is None:
                 # Unclosed: a script hides the rest, a title only itself.
+                unclosed.add(tag)
                 at = len(page) if tag != "title" else at
                 continue
             at = end.end()
             continue
-        node = child
+        here.enter(child)
     return root
 
 
-def _closed(node: Node, tag: str) -> Node:
-    """The element outside the nearest open one with this tag; no such one: no change."""
-    seek: Node | None = node
-    while seek is not None and seek.parent is not None:
-        if seek.tag == tag:
-            return seek.parent
-        # An inline end tag does not close the block around it.
-        if tag not in BLOCKS and seek.tag in BLOCKS:
-            return node
-        seek = seek.parent
-    return node
-
-
-def _without_open(node: Node, closing: set[str], within: set[str]) -> Node:
-    """Close open elements out to the outermost of ``closing`` found inside ``within``."""
-    seek: Node | None = node
-    out = node
-    while seek is not None and seek.parent is not None and seek.tag not in within:
-        if seek.tag in closing:
-            out = seek.parent
-        seek = seek.parent
-    return out
-
-
 def _drop(root: Node) -> None:
     """Remove what never belongs to the text. Inside an article, a header that holds a
-    heading is the article's own; any other header is the page's."""
+    heading is the article's own; any other header is the page's. A form that holds most of
+    the page's prose, as some servers put round every page, is no form of the article's."""
+    prose: dict[int, int] = {}
+    headed: set[int] = set()
+    for node in reversed(_preorder(root)):
+        size = 0 if node.tag in DROPPED - {"form"} or node.tag == "a" else 1
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        inner = [c for c in node.children if isinstance(c, Node)]
+        prose[id(node)] = size * (own + sum(prose[id(c)] for c in inner))
+        if any(c.tag in HEADINGS or id(c) in headed for c in inner):
+            headed.add(id(node))
+    most = prose[id(root)] / 2
     stack: list[tuple[Node, bool]] = [(root, False)]
     while stack:
         node, inside = stack.pop()
@@ -202,26 +247,15 @@ def _drop(root: Node) -> None:
         kept: list[Node | str] = []
         for child in node.children:
             if isinstance(child, Node):
-                if child.dropped:
+                if child.dropped and not (child.tag == "form" and prose[id(child)] > most):
                     continue
-                if child.tag == "header" and not (inside and _has_heading(child)):
+                if child.tag == "header" and not (inside and id(child) in headed):
                     continue
                 stack.append((child, inside))
             kept.append(child)
         node.children = kept
 
 
-def _has_heading(node: Node) -> bool:
-    stack = [node]
-    while stack:
-        for child in stack.pop().children:
-            if isinstance(child, Node):
-                if child.tag in HEADINGS:
-                    return True
-                stack.append(child)
-    return False
-
-
 def _preorder(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
@@ -288,20 +322,36 @@ def _chosen(root: Node, order: list[Node]) -> list[Node]:
         return [best]
     least = max(LEAST_SIBLING, SIBLING_SHARE * _final(best))
     kept = []
+    seen = False
     for sibling in best.parent.children:
         if not isinstance(sibling, Node) or not sibling.chars:
             continue
         links = sibling.link_chars / sibling.chars
         prose = sibling.tag == "p" and (
             sibling.chars > LONG_PARAGRAPH and links < FEW_LINKS
+            or links == 0 and _ends_sentence(sibling)
         )
         scored = sibling.tag in BLOCKS and sibling.tag != "p" and _final(sibling) >= least
-        title = sibling.tag == "h1"
+        # A title stands before the text.
+        title = sibling.tag == "h1" or sibling.tag == "h2" and not seen and links < FEW_LINKS
+        seen |= sibling is best
         if sibling is best or prose or scored or title:
             kept.append(sibling)
     return kept
 
 
+def _ends_sentence(node: Node) -> bool:
+    """Whether the last text in an element ends with a stop."""
+    stack: list[Node | str] = [node]
+    while stack:
+        item = stack.pop()
+        if isinstance(item, Node):
+            stack.extend(item.children)
+        elif item.strip():
+            return item.rstrip()[-1] in ".!?…。"
+    return False
+
+
 def _blocks(nodes: list[Node]) -> list[str]:
     """Texts of blocks in page order; two line breaks in a row also part blocks."""
     found: list[str] = []

@@ -25,6 +25,8 @@ URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BAD = "label:bad"
 MIN_SUPPORT = 0.002
+# A rule stands for at least so many labelled urls, however few there are in all.
+LEAST_URLS = 5
 MIN_CONFIDENCE = 0.8
 
 
@@ -106,8 +108,12 @@ def mined_rules(
             F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")),
         ).alias("items")
     )
+    item_sets = stored(item_sets, "item_sets")
+    # Without a least number, every token of few labelled urls would be frequent, and with it
+    # all sets of one long url's tokens.
+    support = min(1.0, max(min_support, LEAST_URLS / max(item_sets.count(), 1)))
     model = FPGrowth(
-        itemsCol="items", minSupport=min_support, minConfidence=min_confidence
+        itemsCol="items", minSupport=support, minConfidence=min_confidence
     ).fit(item_sets)
     rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select(
         F.array_sort("antecedent").alias("needs"), "confidence"
@@ -167,6 +173,8 @@ def judged(
     bad = matched(
         open_pages.filter(F.col("given").isNull()), mined_rules(labelled)
     ).withColumn("mined", F.lit("block"))
+    # Stored, so that both sides come straight from a shuffle and a hot url can be split.
+    bad = stored(bad, "bad_urls")
     return open_pages.join(bad, "url", "left").select(
         "page_id",
         "host",

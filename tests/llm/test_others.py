@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,55 @@ def test_very_long_and_broken_pages():
     assert html_extract.main_text("<a href=\"" * 2_000 + "x") is not None
 
 
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        '<div class="content has-sidebar">%s</div>',
+        '<div id="page" class="site no-comments">%s</div>',
+        '<section class="post share-enabled">%s</section>',
+        '<div class="page-header-fixed">%s</div>',
+        '<form action="/x"><input type=hidden>%s</form>',
+        '<div class="layout-no-footer"><div>%s</div></div>',
+    ],
+)
+def test_a_state_or_a_form_round_the_page_keeps_the_article(wrap):
+    inner = f"<h1>Title</h1><p>{PARAGRAPH}</p><p class=related-work>{PARAGRAPH}</p><p>The end.</p>"
+    text = f"Title\n\n{PARAGRAPH.strip()}\n\n{PARAGRAPH.strip()}\n\nThe end."
+    noise = "<nav><a href=x>menu</a></nav><div class=sidebar>side</div>"
+    assert html_extract.main_text(wrap % (noise + inner)) == text
+
+
+def test_title_and_last_line_beside_the_best_container():
+    page = f"<body><h2>Title</h2><div><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></div><p>Done.</p><p><a href=x>More.</a></p></body>"
+    assert html_extract.main_text(page) == f"Title\n\n{PARAGRAPH.strip()}\n\n{PARAGRAPH.strip()}\n\nDone."
+
+
+def test_small_forms_and_names_still_go():
+    page = f"<body><form><p>Sign up</p></form><article><p>{PARAGRAPH}</p><p class=ad>{PARAGRAPH}</p></article><div class=post-comments><p>{PARAGRAPH}</p></div></body>"
+    assert html_extract.main_text(page) == PARAGRAPH.strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>x</i>" * 600_000,
+        "<a <a <a " * 600_000,
+        "<a <a <a " * 600_000 + ">",
+        "<!-" * 1_700_000,
+        "<title>" * 700_000,
+        "<article>" + "<header>" * 200_000 + "<h2>x",
+        "<div><p><b>" * 400_000 + "x",
+        "</div></p>" * 500_000 + "x",
+        "<li><td>" * 500_000 + "x",
+    ],
+    ids=["inline", "starts", "one end", "comments", "titles", "headers", "deep", "ends", "cells"],
+)
+def test_broken_markup_of_five_megabytes_is_read_in_linear_time(page):
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 40
+
+
 # Url rules.
 
 
@@ -132,6 +182,13 @@ def test_mined_rules_are_pruned_and_can_be_none(spark):
     assert url_rules.judged(pages.limit(0), labelled).count() == 0
 
 
+def test_one_long_url_among_few_makes_no_rules(spark):
+    long = "http://a.org/" + "/".join(f"w{i}{chr(97 + i % 26)}x" for i in range(40))
+    rows = [(f"http://b.org/{chr(97 + i % 26)}", i % 2 == 0) for i in range(99)] + [(long, True)]
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    assert url_rules.mined_rules(labelled).filter("array_contains(needs, 'p:w0ax')").count() == 0
+
+
 # Sharding.
 
 
