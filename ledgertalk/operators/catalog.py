@@ -37,7 +37,8 @@ def name_ids(names: DataFrame) -> DataFrame:
     numbered = stored(
         numbered.select("ProductName", F.monotonically_increasing_id().alias("name_id")), "name_ids"
     )
-    return names.join(numbered, "ProductName").select("StockCode", "ProductName", "name_id")
+    both = names.join(numbered, "ProductName").select("StockCode", "ProductName", "name_id")
+    return stored(both, "names")
 
 
 def line_items(bought: DataFrame, names: DataFrame | None = None) -> DataFrame:
