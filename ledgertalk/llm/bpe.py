@@ -12,7 +12,9 @@ after another; nor do letters and the points or commas behind them, and case is
    documents again, which travel compressed;
 4. ids are put in place by position.
 
-``decode`` joins each id with its piece, map-side: the id-to-piece table has a fixed size.
+Decoding goes the same way: the ids of the frequent words are joined, by position, with the
+id-to-piece table, and a text's pieces are its words' pieces one after another; a block spells
+each of its other words once, from the same table as a list. ``decode`` is for any ids.
 A block is a range of doc_id, so texts in id order share blocks; any ids give right results.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import os
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import batched, chain
 from unicodedata import is_normalized
@@ -264,7 +266,41 @@ def frequent(table: DataFrame, most: int = FREQUENT) -> DataFrame:
     return short.filter(F.col("step") >= lowest)
 
 
-def _rare(known: Broadcast[dict[str, bytes]]):
+def with_pieces(table: DataFrame, path: str) -> DataFrame:
+    """``unit, ids, pieces``: the pieces of each unit's ids in order, parted by spaces, by a join
+    with the id-to-piece table; a unit without ids has an empty text."""
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x, dtype="<u4") for x in batch.column("ids").to_pylist()]
+            units_of = np.repeat(np.arange(len(found)), [len(x) for x in found])
+            places = list(chain.from_iterable(range(len(x)) for x in found))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("unit").take(pa.array(units_of)),
+                    pa.array(places, pa.int32()),
+                    pa.array(np.concatenate([*found, np.empty(0, "<u4")]), pa.int64()),
+                ],
+                ["unit", "at", "id"],
+            )
+
+    vocabulary = pieces(path)
+    id_to_piece = table.sparkSession.createDataFrame(
+        pa.table({"id": pa.array(range(len(vocabulary)), pa.int64()), "piece": vocabulary})
+    )
+    spelled = (
+        table.select("unit", "ids")
+        .mapInArrow(parted, "unit string, at int, id long")
+        # One row for each id of the vocabulary, whatever the texts are.
+        .join(F.broadcast(id_to_piece), "id")
+        .groupBy("unit")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "piece"))).alias("placed"))
+        .select("unit", F.array_join("placed.piece", " ").alias("pieces"))
+    )
+    return table.select("unit", "ids").join(spelled, "unit", "left").fillna("", ["pieces"])
+
+
+def _rare(known: Broadcast[dict[str, tuple[bytes, str]]]):
     """Units of a block's texts that are not frequent, each once."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,7 +338,7 @@ def encode(
     docs: DataFrame, path: str, text_column: str = "text", back: bool = False
 ) -> DataFrame:
     """``doc_id, ids`` for every row; ids as little-endian unsigned 32-bit integers. With
-    ``back``, each task decodes its ids again, as ``decode`` would, into ``decoded``."""
+    ``back``, also ``decoded``: the pieces of the ids, as ``decode`` gives them."""
     blocked = docs.select(
         F.coalesce(F.expr(f"doc_id div {BLOCK_DOCS}"), F.lit(0)).cast("long").alias("block"),
         "doc_id",
@@ -310,8 +346,11 @@ def encode(
     )
     table = word_table(blocked, path)
     # At most FREQUENT rows of at most FREQUENT_BYTES.
-    often = frequent(table).select("unit", "ids").toArrow()
-    common = dict(zip(often["unit"].to_pylist(), often["ids"].to_pylist(), strict=True))
+    often = frequent(table)
+    often = with_pieces(often, path) if back else often.withColumn("pieces", F.lit(""))
+    often = often.select("unit", "ids", "pieces").toArrow()
+    known = zip(often["ids"].to_pylist(), often["pieces"].to_pylist(), strict=True)
+    common = dict(zip(often["unit"].to_pylist(), known, strict=True))
     shared = docs.sparkSession.sparkContext.broadcast(common)
     asked = blocked.select("block", "text").mapInArrow(_rare(shared), "block long, unit string")
     answers = asked.join(table.select("unit", "ids"), "unit").select("block", "unit", "ids")
@@ -321,23 +360,32 @@ def encode(
 
     def in_place(rows: pa.Table, rare: pa.Table) -> pa.Table:
         often = shared.value
-        here = dict(
-            zip(rare.column("unit").to_pylist(), rare.column("ids").to_pylist(), strict=True)
-        )
+
+        def spelled(found: Iterable[tuple[str, bytes]]) -> dict[str, tuple[bytes, str]]:
+            return {unit: (ids, decoded(ids, path) if back else "") for unit, ids in found}
+
+        asked = zip(rare.column("unit").to_pylist(), rare.column("ids").to_pylist(), strict=True)
+        here = spelled(asked)
         ids: dict[str, bytes] = {}
-        found = []
+        read: dict[str, str] = {}
+        found, texts_back = [], []
         for texts in batched(decompressed(rows.column("text").to_pylist()), TEXTS_AT_ONCE):
             split = [words_of(text) for text in texts]
             distinct = set(chain.from_iterable(split))
             new = {word: units(word) for word in distinct if word not in ids}
             once = [u for us in new.values() for u in us if u not in often and u not in here]
-            here.update(zip(once, encoded_units(once, path), strict=True))
+            here.update(spelled(zip(once, encoded_units(once, path), strict=True)))
             for word, us in new.items():
-                ids[word] = b"".join([often[u] if u in often else here[u] for u in us])
+                parts = [often[u] if u in often else here[u] for u in us]
+                ids[word] = b"".join([part for part, _ in parts])
+                read[word] = " ".join([part for _, part in parts if part])
             found += [b"".join([ids[w] for w in words]) for words in split]
+            if back:
+                # A word without ids has no pieces either.
+                texts_back += [" ".join(filter(None, [read[w] for w in words])) for words in split]
         columns = [rows.column("doc_id"), pa.array(found, pa.binary())]
         if back:
-            columns.append(pa.array([decoded(x, path) for x in found], pa.string()))
+            columns.append(pa.array(texts_back, pa.string()))
         return pa.table(columns, names=schema.names)
 
     return (

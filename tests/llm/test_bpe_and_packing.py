@@ -58,9 +58,24 @@ def test_encode_and_decode_as_the_library(docs):
 
 def test_rare_words_come_through_the_join(docs, monkeypatch):
     monkeypatch.setattr(bpe.frequent, "__defaults__", (5,))
-    found = bpe.encode(docs, PATH).collect()
+    found = bpe.encode(docs, PATH, back=True).collect()
     by_id = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in found}
     assert all(by_id[i * 1000] == library_ids(text) for i, text in enumerate(ODD))
+    read = {r.doc_id: r.decoded for r in found}
+    assert all(
+        read[i * 1000] == LIBRARY.decode(library_ids(text), skip_special_tokens=False)
+        for i, text in enumerate(ODD)
+    )
+
+
+def test_pieces_come_from_the_id_to_piece_table(spark):
+    units = ["the", "antidisestablishmentarianism", "", "a1.", "..."]
+    ids = [np.asarray(library_ids(u), "<u4").tobytes() for u in units]
+    table = spark.createDataFrame(list(zip(units, ids)), "unit string, ids binary").repartition(2)
+    found = {r.unit: r.pieces for r in bpe.with_pieces(table, PATH).collect()}
+    assert found == {
+        u: LIBRARY.decode(library_ids(u), skip_special_tokens=False) for u in units
+    }
 
 
 def test_empty_table(spark):
