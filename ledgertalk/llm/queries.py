@@ -22,6 +22,7 @@ from ledgertalk.llm import (
     quality_rules,
     sharding,
     spelling,
+    sql,
     url_rules,
 )
 from ledgertalk.llm.common import table
@@ -168,4 +169,9 @@ def llm_queries() -> dict[str, Query]:
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op10_quality_rules": quality_rules.SQL}
+    return {
+        "op9_ngram_jaccard_join": sql.NGRAM_JACCARD_JOIN,
+        "op10_quality_rules": quality_rules.SQL,
+        "op11_conversation_trie": sql.CONVERSATION_TRIE,
+        "op12_spelling_variants": sql.SPELLING_VARIANTS,
+    }
