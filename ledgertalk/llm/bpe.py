@@ -12,7 +12,8 @@ after another; nor do letters and the points or commas behind them, and case is
    documents again, which travel compressed;
 4. ids are put in place by position.
 
-``decode`` joins each id with its piece, map-side: the id-to-piece table has a fixed size.
+``decode`` joins ids with their pieces by position in the id-to-piece table, whole columns at
+once. The table has a fixed size and is known to every task, so the join needs no shuffle.
 A block is a range of doc_id, so texts in id order share blocks; any ids give right results.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows
@@ -50,6 +51,8 @@ HELD_WORDS = 150_000
 FREQUENT, FREQUENT_BYTES = 1 << 18, 64
 ENCODED_AT_ONCE = 2_000
 TEXTS_AT_ONCE = 256
+# Bytes of ids after which no further text is decoded with the ones before.
+DECODED_AT_ONCE = 1 << 24
 # Units whose ids a worker remembers.
 REMEMBERED = 500_000
 
@@ -75,15 +78,15 @@ def _letter_tokenizer(path: str) -> Tokenizer:
 
 
 @lru_cache(maxsize=4)
-def pieces(path: str) -> list[str]:
+def pieces(path: str) -> pa.Array:
     """The id-to-piece table; ids without a piece read as nothing."""
     known = tokenizer(path)
-    return [known.id_to_token(i) or "" for i in range(known.get_vocab_size())]
+    return pa.array([known.id_to_token(i) or "" for i in range(known.get_vocab_size())])
 
 
 @lru_cache(maxsize=4)
 def _ends_word(path: str) -> np.ndarray:
-    return np.array([piece.endswith("</w>") for piece in pieces(path)])
+    return pc.ends_with(pieces(path), "</w>").to_numpy(zero_copy_only=False)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -337,7 +340,7 @@ def encode(
             found += [b"".join([ids[w] for w in words]) for words in split]
         columns = [rows.column("doc_id"), pa.array(found, pa.binary())]
         if back:
-            columns.append(pa.array([decoded(x, path) for x in found], pa.string()))
+            columns.append(decoded(found, path))
         return pa.table(columns, names=schema.names)
 
     return (
@@ -348,9 +351,27 @@ def encode(
     )
 
 
-def decoded(ids: bytes, path: str) -> str:
-    """Pieces of the ids, parted by spaces."""
-    return " ".join(map(pieces(path).__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+def decoded(found: list[bytes], path: str) -> pa.ChunkedArray:
+    """Texts of rows of ids: the ids' pieces, parted by spaces."""
+
+    def join(part: list[bytes]) -> pa.Array:
+        ends = np.cumsum([0, *[len(ids) // 4 for ids in part]])
+        ids = pa.array(np.frombuffer(b"".join(part), dtype="<u4"))
+        return pc.binary_join(
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pieces(path).take(ids)), " "
+        )
+
+    texts: list[pa.Array] = []
+    part: list[bytes] = []
+    held = 0
+    for ids in found:
+        part.append(ids)
+        held += len(ids)
+        if held >= DECODED_AT_ONCE:
+            texts.append(join(part))
+            part, held = [], 0
+    texts.append(join(part))
+    return pa.chunked_array(texts, pa.string())
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -360,9 +381,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [decoded(ids, path) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.string())], schema.names
-            )
+            found = decoded(batch.column("ids").to_pylist(), path)
+            table = pa.table([*batch.columns, found], names=schema.names)
+            yield from table.to_batches()
 
     return encoded.mapInArrow(texts, schema)

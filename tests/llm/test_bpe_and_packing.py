@@ -56,6 +56,17 @@ def test_encode_and_decode_as_the_library(docs):
     ) == expected
 
 
+def test_texts_decode_in_parts(monkeypatch):
+    ids = [library_ids(text) for text in ODD]
+    packed = [np.asarray(x, "<u4").tobytes() for x in ids]
+    for most in (1, 100, 1 << 24):
+        monkeypatch.setattr(bpe, "DECODED_AT_ONCE", most)
+        assert bpe.decoded(packed, PATH).to_pylist() == [
+            LIBRARY.decode(x, skip_special_tokens=False) for x in ids
+        ]
+    assert bpe.decoded([], PATH).to_pylist() == []
+
+
 def test_rare_words_come_through_the_join(docs, monkeypatch):
     monkeypatch.setattr(bpe.frequent, "__defaults__", (5,))
     found = bpe.encode(docs, PATH).collect()
