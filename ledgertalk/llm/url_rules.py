@@ -2,8 +2,10 @@
 
 Mining: Spark's FP-growth finds token sets that are frequent among labelled urls; a set is a
 rule if urls that hold it are bad with high confidence, and if no part of it is a rule at
-least as sure. Matching: an inverted index maps each rule's rarest token to the rule. A url
-meets only the rules indexed under its own tokens, and one fits if all its tokens are there.
+least as sure. Tokens that are in exactly the same labelled urls stand for each other, so they
+are mined as one: a long url that is repeated often does not make all sets of its tokens rules.
+Matching: an inverted index maps the tokens of each rule's rarest need to the rule. A url meets
+only the rules indexed under its own tokens, and one fits if it has a token of every need.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no tokens
 and no rule, and is allowed; repeated rows are judged each for itself; without labels no
@@ -96,30 +98,59 @@ def tokens(url: Column) -> Column:
     ).otherwise(F.filter(found, lambda x: ~x.endswith(":")))
 
 
+def token_classes(item_sets: DataFrame) -> DataFrame:
+    """``need, members``: tokens that are in exactly the same of these sets, under the smallest of
+    them. All members are in one set, so a class is no longer than a url has tokens."""
+    in_sets = item_sets.select("set_id", F.explode("items").alias("token")).distinct()
+    same = ["sets", "x1", "x2"]
+    signs = in_sets.filter(F.col("token") != BAD).groupBy("token").agg(
+        F.count("*").alias("sets"),
+        F.bit_xor(F.xxhash64("set_id.x1")).alias("x1"),
+        F.bit_xor(F.xxhash64("set_id.x2")).alias("x2"),
+    )
+    members = signs.groupBy(*same).agg(F.array_sort(F.collect_list("token")).alias("members"))
+    return members.select(F.get("members", F.lit(0)).alias("need"), "members")
+
+
 def mined_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
-    """``rule_id, needs, confidence`` from rows ``url, bad``; every labelled row counts."""
-    item_sets = labelled.filter(F.col("bad").isNotNull()).select(
-        F.concat(
-            tokens(F.col("url")),
-            F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")),
-        ).alias("items")
+    """``rule_id, needs, members, confidence`` from rows ``url, bad``; every labelled row counts.
+    Each need stands for its class of tokens, ``members`` in the same order."""
+    items = F.concat(
+        tokens(F.col("url")),
+        F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>")),
+    )
+    item_sets = labelled.filter(F.col("bad").isNotNull()).select(items.alias("items"))
+    set_id = F.struct(
+        F.xxhash64("items").alias("x1"), F.xxhash64(F.lit(1), F.col("items")).alias("x2")
     )
-    item_sets = stored(item_sets, "item_sets")
+    item_sets = stored(item_sets.select("items", set_id.alias("set_id")), "item_sets")
+    distinct_sets = item_sets.groupBy("set_id").agg(F.first("items").alias("items"))
+    distinct_sets = stored(distinct_sets, "distinct_item_sets")
+    classes = stored(token_classes(distinct_sets), "token_classes")
+    need_of = classes.select("need", F.explode("members").alias("token"))
+    needed = (
+        distinct_sets.select("set_id", F.explode("items").alias("token"))
+        .join(need_of, "token", "left")
+        .groupBy("set_id")
+        .agg(F.collect_set(F.coalesce("need", "token")).alias("items"))
+    )
+    needed = stored(needed, "needed_item_sets")
+    mined = stored(item_sets.select("set_id").join(needed, "set_id").select("items"), "mined_sets")
     # Without a least number, every token of few labelled urls would be frequent, and with it
     # all sets of one long url's tokens.
     support = min(1.0, max(min_support, LEAST_URLS / max(item_sets.count(), 1)))
     model = FPGrowth(
         itemsCol="items", minSupport=support, minConfidence=min_confidence
-    ).fit(item_sets)
+    ).fit(mined)
     rules = model.associationRules.filter(F.col("consequent") == F.array(F.lit(BAD))).select(
         F.array_sort("antecedent").alias("needs"), "confidence"
     )
     rules = stored(rules.withColumn("rule_id", F.xxhash64(F.array_join("needs", "\x00"))), "rules")
-    # Cut a rule that holds a shorter rule at least as sure: they meet on the short one's tokens.
+    # Cut a rule that holds a shorter rule at least as sure: they meet on the short one's needs.
     longer = rules.select(
         F.col("rule_id").alias("long_id"),
         F.col("needs").alias("long_needs"),
@@ -134,27 +165,43 @@ def mined_rules(
         .filter(F.col("confidence") >= F.col("long_confidence"))
         .select(F.col("long_id").alias("rule_id"))
     )
-    return rules.join(spare, "rule_id", "left_anti")
+    kept = rules.join(spare, "rule_id", "left_anti")
+    return (
+        kept.select("rule_id", "confidence", F.explode("needs").alias("need"))
+        .join(classes, "need")
+        .groupBy("rule_id", "confidence")
+        .agg(F.array_sort(F.collect_list(F.struct("need", "members"))).alias("found"))
+        .select(
+            "rule_id",
+            F.col("found.need").alias("needs"),
+            F.col("found.members").alias("members"),
+            "confidence",
+        )
+    )
 
 
 def matched(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Distinct urls that some mined rule fits."""
-    use = rules.select("rule_id", F.explode("needs").alias("token"))
-    rarity = use.groupBy("token").agg(F.count("*").alias("uses"))
+    rules = stored(rules.select("rule_id", "needs", "members"), "kept_rules")
+    use = rules.select("rule_id", F.explode(F.arrays_zip("needs", "members")).alias("use"))
+    use = use.select("rule_id", "use.needs", "use.members")
+    rarity = use.groupBy("needs").agg(F.count("*").alias("uses"))
+    rarest = F.min_by("members", F.struct("uses", "needs"))
     index = (
-        use.join(rarity, "token")
+        use.join(rarity, "needs")
         .groupBy("rule_id")
-        .agg(F.min_by("token", F.struct("uses", "token")).alias("token"))
+        .agg(rarest.alias("tokens"))
+        .select("rule_id", F.explode("tokens").alias("token"))
         .join(rules, "rule_id")
-        .select("token", "needs")
+        .select("token", F.col("members").alias("any_of"))
     )
     # Small when rules are few; as a stored table its size is known when the join is planned.
     index = stored(index, "rule_index")
-    of_url = pages.select("url", tokens(F.col("url")).alias("has"))
+    of_url = pages.select("url").distinct().select("url", tokens(F.col("url")).alias("has"))
     return (
         of_url.select("url", "has", F.explode("has").alias("token"))
         .join(index, "token")
-        .filter(F.size(F.array_except("needs", "has")) == 0)
+        .filter(F.forall("any_of", lambda need: F.arrays_overlap(need, F.col("has"))))
         .select("url")
         .distinct()
     )

@@ -2,6 +2,7 @@
 nearest neighbours against brute force on small inputs."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -182,6 +183,46 @@ def test_mined_rules_are_pruned_and_can_be_none(spark):
     assert url_rules.judged(pages.limit(0), labelled).count() == 0
 
 
+def test_mined_rules_equal_all_token_sets(spark):
+    """A url is blocked if any set of its tokens is bad often and surely enough."""
+    dice = random.Random(4)
+    parts = ["ab", "cd", "ef", "gh", "ij", "kl", "mn"]
+    urls = ["http://a.org/" + "/".join(dice.sample(parts, dice.randint(0, 5))) for _ in range(25)]
+    urls += ["http://b.org/twin/same/pair/ab", "http://b.org/twin/same/pair"]
+    labels = [(u, dice.random() < (0.9 if "cd" in u or "twin" in u else 0.4)) for u in urls * 8]
+    labelled = spark.createDataFrame(labels, "url string, bad boolean")
+    wanted = urls + ["http://c.org/same", "http://c.org/cd/ij", "http://a.org/zz", "http://x.y/pair/cd"]
+    pages = spark.createDataFrame(list(enumerate(wanted)), "page_id long, url string")
+    has = {
+        r.url: frozenset(r.has)
+        for r in pages.select("url", url_rules.tokens(pages.url).alias("has")).collect()
+    }
+    seen = {}
+    for url, bad in labels:
+        for n in range(1, len(has[url]) + 1):
+            for some in itertools.combinations(sorted(has[url]), n):
+                good_bad = seen.setdefault(some, [0, 0])
+                good_bad[bad] += 1
+    least = math.ceil(url_rules.LEAST_URLS / len(labels) * len(labels))
+    sure = [set(k) for k, (g, b) in seen.items() if b >= least and b / (g + b) >= 0.8]
+    expected = {u: any(rule <= has[u] for rule in sure) for u in wanted}
+    found = url_rules.matched(pages, url_rules.mined_rules(labelled))
+    assert {r.url for r in found.collect()} == {u for u, hit in expected.items() if hit}
+    assert 0 < sum(expected.values()) < len(expected)
+
+
+def test_one_repeated_long_url_is_one_need(spark):
+    long = "http://a.org/" + "/".join(f"w{i}{chr(97 + i % 26)}x" for i in range(40))
+    rows = [(f"http://b.org/{chr(97 + i % 26)}", False) for i in range(100)] + [(long, True)] * 100
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    (rule,) = url_rules.mined_rules(labelled).collect()
+    assert len(rule.needs) == 1 and len(rule.members[0]) > 20
+    pages = [(1, long), (2, "http://c.org/w0ax"), (3, "http://b.org/a"), (4, long)]
+    found = url_rules.judged(spark.createDataFrame(pages, "page_id long, url string"), labelled)
+    verdicts = {r.page_id: r.verdict for r in found.collect()}
+    assert verdicts == {1: "block", 2: "block", 3: "allow", 4: "block"}
+
+
 def test_one_long_url_among_few_makes_no_rules(spark):
     long = "http://a.org/" + "/".join(f"w{i}{chr(97 + i % 26)}x" for i in range(40))
     rows = [(f"http://b.org/{chr(97 + i % 26)}", i % 2 == 0) for i in range(99)] + [(long, True)]
@@ -526,7 +567,6 @@ def test_the_field_adds_what_the_patterns_miss(field):
 
 
 def test_viterbi_and_gradient_are_those_of_all_paths(field):
-    import itertools
 
     row = pii.features(["call", "(555)", "555-1234", "now"])
     scores, lengths = field.scores([row, row[:2]])
