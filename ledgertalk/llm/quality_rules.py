@@ -218,12 +218,11 @@ def ordered_rules(
 ) -> list[Rule]:
     """Rules by rejection per cost on a sample, the highest first; ties by name.
 
-    The sample is chosen by a hash of the text, about ``sample_rows`` rows.
+    The sample is drawn row by row, about ``sample_rows`` rows however often a text is repeated.
+    It decides the order of the rules only, never a verdict.
     """
     share = sample_rows / max(docs.count(), sample_rows)
-    sample = docs.select(F.col(text_column).cast("string").alias(TEXT)).filter(
-        F.pmod(F.xxhash64(TEXT), F.lit(1_000_000)) < int(share * 1_000_000)
-    )
+    sample = docs.select(F.col(text_column).cast("string").alias(TEXT)).sample(share, seed=1)
     sample = stored(sample, "rule_sample")
     prepared = with_inputs(sample, TEXT)
 
