@@ -357,8 +357,11 @@ def neighbours(
         "distinct_vectors",
     )
     total = distinct.count()
-    # At most SAMPLE rows.
-    sample = distinct.orderBy(F.xxhash64("key", F.lit(5)), "key").limit(SAMPLE)
+    # At most SAMPLE rows. Cut first at a hash below which about twice as many lie, so that no
+    # task passes on SAMPLE rows of its own.
+    place = F.xxhash64("key", F.lit(5))
+    below = min(2**63 - 1, 2**64 * 2 * SAMPLE // max(total, 1) - 2**63)
+    sample = distinct.filter(place <= F.lit(below)).orderBy(place, "key").limit(SAMPLE)
     sample = matrix(sample.select("vector").toArrow().column("vector"))
     squared = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     length = float(np.sqrt(distinct.agg(F.max(squared)).first()[0] or 1.0))
