@@ -40,7 +40,7 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgertalk.llm.common import few_at_once, give_back, small_or_shuffled, with_fields
@@ -49,6 +49,8 @@ from ledgertalk.sources.scratch import stored
 
 # A shingle in the prefixes of more components than this comes late in the global order.
 COMMON = 32
+# A list of more stars than this pairs its entries by component.
+LONG_LIST = 256
 # Ids are broadcast up to this number (16 MB), joined by a shuffle beyond it.
 MOST_BROADCAST_IDS = 1_000_000
 # Sets of a block, and shingles of two blocks, that a task compares at once.
@@ -444,19 +446,20 @@ class Join:
             "entries",
         )
         columns = ("star", "part", "least", "most", "behind", "low")
+        entries = _with_turns(entries)
         # One side stands in its own blocks, the other looks into those and the next ones.
         a = entries.select(
-            "token",
-            F.explode(F.sequence("low", "high")).alias("block"),
-            *[F.col(c).alias(f"{c}_a") for c in columns],
-        )
+            "token", "low", "high", "first", *[F.col(c).alias(f"{c}_a") for c in columns]
+        ).withColumn("turn", F.explode("first"))
+        a = a.withColumn("block", F.explode(F.sequence("low", "high"))).drop("low", "high", "first")
         b = entries.select(
-            "token",
-            F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1)).alias("block"),
-            *[F.col(c).alias(f"{c}_b") for c in columns],
-        )
+            "token", "low", "high", "second", *[F.col(c).alias(f"{c}_b") for c in columns]
+        ).withColumn("turn", F.explode("second"))
+        b = b.withColumn(
+            "block", F.explode(F.sequence(F.col("low") - 1, F.col("high") + 1))
+        ).drop("low", "high", "second")
         met = (
-            a.join(b, ["token", "block"])
+            a.join(b, ["token", "block", "turn"])
             .filter(F.col("part_a") < F.col("part_b"))
             # Blocks that both cover: only the first counts.
             .filter(F.col("block") == F.greatest(F.col("low_a"), F.col("low_b") - 1))
@@ -707,6 +710,48 @@ def _common(tokens: DataFrame) -> DataFrame:
     return parts.filter(F.col("count") > COMMON).select("token")
 
 
+def _with_turns(entries: DataFrame) -> DataFrame:
+    """The entries with arrays ``first`` and ``second``: the turns in which an entry is the one or
+    the other side of its list's pairs.
+
+    Most lists have one turn. In one of more than ``LONG_LIST`` stars the components are numbered
+    by ``part``, and two of them meet in the turn of the highest bit in which their numbers
+    differ, so that no two stars of one component are ever put together: a component of very
+    many stars costs its list nothing of its own.
+    """
+    long_lists = entries.groupBy("token").agg(F.count("*").alias("stars"))
+    long_lists = long_lists.filter(F.col("stars") > LONG_LIST).select("token")
+    few = small_or_shuffled(stored(long_lists, "long_lists"), MOST_BROADCAST_IDS)
+    # A list has few components, or its shingle would be a common one.
+    by_part = Window.partitionBy("token").orderBy("part")
+    numbered = (
+        entries.join(few, "token", "left_semi")
+        .select("token", "part")
+        .distinct()
+        .withColumn("number", F.row_number().over(by_part) - 1)
+        .withColumn("parts", F.count("*").over(Window.partitionBy("token")))
+    )
+    numbered = small_or_shuffled(stored(numbered, "numbered_parts"), MOST_BROADCAST_IDS)
+    bits = F.sequence(F.lit(0), F.length(F.bin(F.col("parts") - 1)) - 1)
+
+    def turns(side: int) -> Column:
+        def here(bit: Column) -> Column:
+            return F.call_function("shiftright", F.col("number"), bit).bitwiseAND(1) == side
+
+        def turn(bit: Column) -> Column:
+            above = F.call_function("shiftright", F.col("number"), bit + 1)
+            return F.struct(bit.alias("bit"), above.alias("above"))
+
+        one = F.array(F.struct(F.lit(-1).alias("bit"), F.lit(0).alias("above")))
+        return F.when(F.col("number").isNull(), one).otherwise(
+            F.transform(F.filter(bits, here), turn)
+        )
+
+    return entries.join(numbered, ["token", "part"], "left").select(
+        *[entries[c] for c in entries.columns], turns(0).alias("first"), turns(1).alias("second")
+    )
+
+
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [np.frombuffer(x, np.int64) for x in batch.column("shingles").to_pylist()]

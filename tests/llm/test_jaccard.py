@@ -83,6 +83,36 @@ def test_components_equal_all_pairs(spark, monkeypatch, seed, linking, common, b
     )
 
 
+@pytest.mark.parametrize("common", [3, 32])
+def test_long_lists_pair_by_component(spark, monkeypatch, common):
+    monkeypatch.setattr(jaccard, "LONG_LIST", 1)
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rows = corpus(7)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard.linked(docs, jaccard.Linking(4, 80)).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == all_pairs(
+        rows, jaccard.Linking(4, 80)
+    )
+
+
+@pytest.mark.parametrize("long_list", [0, 1000])
+def test_turns_bring_each_two_components_together_once(spark, monkeypatch, long_list):
+    monkeypatch.setattr(jaccard, "LONG_LIST", long_list)
+    rows = [(t, part * 10, part * 100 + s) for t in (1, 2) for part in range(7 * t) for s in range(3)]
+    entries = spark.createDataFrame(rows, "token long, part long, star long")
+    turns = jaccard._with_turns(entries).collect()
+    sides = [[(r, x) for r in turns for x in r[side]] for side in ("first", "second")]
+    pairs = [
+        (a.token, a.star, b.star)
+        for a, x in sides[0] for b, y in sides[1] if a.token == b.token and x == y
+    ]
+    across = [p for p in pairs if p[1] // 100 < p[2] // 100]
+    want = [(t, a, b) for t, p, a in rows for u, q, b in rows if t == u and p < q]
+    assert sorted(across) == sorted(want)
+    # In a long list nothing else is put together.
+    assert (pairs == across or sorted(pairs) == sorted(across)) == (long_list == 0)
+
+
 def test_no_broadcast_gives_the_same(spark, monkeypatch):
     rows = corpus(5)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
