@@ -14,7 +14,8 @@ after another; nor do letters and the points or commas behind them, and case is
 
 ``decode`` joins ids with their pieces by position in the id-to-piece table, whole columns at
 once. The table has a fixed size and is known to every task, so the join needs no shuffle.
-A block is a range of doc_id, so texts in id order share blocks; any ids give right results.
+A block is a range of doc_id, cut where its texts hold too many bytes, so texts in id order
+share blocks; any ids give right results.
 
 Defined results: a null or empty text has no ids and decodes to an empty text; repeated rows
 are encoded each for itself; an empty table gives an empty result; a null doc_id is kept;
@@ -38,13 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from ledgertalk.llm.common import compressed, decompressed, few_at_once, with_fields
+from ledgertalk.llm.common import compressed, decompressed, few_at_once, in_blocks, with_fields
 from ledgertalk.sources.scratch import stored
 
 # Spark runs a task on each core already.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-BLOCK_DOCS = 4096
+# Documents of a block, and bytes of their texts beyond which it is cut.
+BLOCK_DOCS, BLOCK_BYTES = 4096, 32 << 20
+# Ranges that are cut are broadcast up to this number (16 MB), joined by a shuffle beyond it.
+MOST_BROADCAST_RANGES = 1_000_000
 # Distinct words that a task holds before it passes them on.
 HELD_WORDS = 150_000
 # Most words that every task knows, and the longest of them in bytes.
@@ -306,10 +310,11 @@ def encode(
 ) -> DataFrame:
     """``doc_id, ids`` for every row; ids as little-endian unsigned 32-bit integers. With
     ``back``, each task decodes its ids again, as ``decode`` would, into ``decoded``."""
-    blocked = docs.select(
-        F.coalesce(F.expr(f"doc_id div {BLOCK_DOCS}"), F.lit(0)).cast("long").alias("block"),
-        "doc_id",
-        F.col(text_column).alias("text"),
+    blocked = in_blocks(
+        docs.select("doc_id", F.col(text_column).alias("text")),
+        BLOCK_DOCS,
+        BLOCK_BYTES,
+        MOST_BROADCAST_RANGES,
     )
     table = word_table(blocked, path)
     # At most FREQUENT rows of at most FREQUENT_BYTES.

@@ -10,7 +10,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegralType, StructField, StructType
+
+from ledgertalk.sources.scratch import stored
 
 # Fixed value: white space that separates words in all contracts of this package.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -45,6 +47,36 @@ def with_fields(schema: StructType, fields: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(fields).fields])
 
 
+def in_blocks(docs: DataFrame, block_docs: int, block_bytes: int, most_rows: int) -> DataFrame:
+    """The rows of ``docs``, which has ``doc_id`` and ``text``, with a long ``block`` in front.
+
+    A block is a range of ``block_docs`` numbers, which lie near each other in the files, so that
+    few tasks share it. A range whose texts hold more than ``block_bytes`` is cut by a hash of id
+    and text into as many blocks as its bytes need; rows without an id are a range like others.
+    Ids that are not numbers are dealt by their hash, their ranges counted from the bytes of all
+    texts. The same row is always in the same block. Rows that repeat both the id and the text
+    are in one block. Block numbers may meet by hash, which makes a block larger and no more.
+    """
+    size = F.octet_length("text").cast("long")
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        number = F.expr(f"doc_id div {block_docs}").cast("long")
+    else:
+        whole = docs.agg(F.sum(size)).first()[0] or 0
+        number = F.pmod(F.xxhash64("doc_id"), F.lit(whole // block_bytes + 1))
+        number = F.when(F.col("doc_id").isNotNull(), number)
+    ranged = docs.select(F.coalesce(number, F.lit(-(2**63))).alias("range"), *docs.columns)
+    bytes_of = ranged.groupBy("range").agg(F.sum(size).alias("bytes"))
+    # Each holds more than ``block_bytes``, so they are few beside the texts.
+    large = bytes_of.filter(F.col("bytes") > block_bytes).select(
+        F.col("range").alias("large"), F.ceil(F.col("bytes") / block_bytes).alias("parts")
+    )
+    large = small_or_shuffled(stored(large, "large_ranges"), most_rows)
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.col("parts"))
+    block = F.when(F.col("parts").isNull(), F.col("range")).otherwise(F.xxhash64("range", part))
+    found = ranged.join(large, F.col("range") == F.col("large"), "left")
+    return found.select(block.alias("block"), *docs.columns)
+
+
 def few_at_once(column: pa.Array, rows: int = 512) -> Iterator:
     """Values of an Arrow column, of which few are Python objects at a time."""
     for at in range(0, len(column), rows):

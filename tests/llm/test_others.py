@@ -13,7 +13,16 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from check import connect, sorted_rows
-from ledgertalk.llm import ann, html_extract, pii, quality_lm, quality_rules, sharding, url_rules
+from ledgertalk.llm import (
+    ann,
+    common,
+    html_extract,
+    pii,
+    quality_lm,
+    quality_rules,
+    sharding,
+    url_rules,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -256,6 +265,39 @@ def test_shards_are_even_and_keep_equal_texts_together(spark):
     assert len({r.shard for r in found if 6000 <= (r.doc_id or 0) < 7000}) == 1
 
 
+def plain_place(items, shards):
+    """Shard of each item, by comparing all shards for each, in exact numbers."""
+    from fractions import Fraction
+
+    whole = [sum(x[k] for x in items) or 1 for k in range(3)]
+    scaled = [[Fraction(int(x[k]) * shards, int(whole[k])) for k in range(3)] for x in items]
+    root = [Fraction(math.isqrt(int(w))) for w in sharding.WEIGHTS]
+    left = [list(root) for _ in range(shards)]
+    found = [0] * len(items)
+    for i in sorted(range(len(items)), key=lambda i: (-max(s * r for s, r in zip(scaled[i], root, strict=True)), -scaled[i][0], i)):
+        item = [s * r for s, r in zip(scaled[i], root, strict=True)]
+        best = max(range(shards), key=lambda s: (sum(a * b for a, b in zip(left[s], item, strict=True)), -s))
+        left[best] = [a - b for a, b in zip(left[best], item, strict=True)]
+        found[i] = best
+    return found
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_placing_equals_a_plain_version(seed):
+    dice = random.Random(seed)
+    # Sums of shards that are powers of two, so that floats are exact too.
+    items = [[2 ** dice.randint(3, 9), dice.randint(0, 40), 1] for _ in range(255)]
+    for k in range(3):
+        items_sum = sum(x[k] for x in items)
+        if k == 0:
+            last = [2 ** math.ceil(math.log2(items_sum + 1)) - items_sum]
+        else:
+            last.append(2 ** math.ceil(math.log2(items_sum + 1)) - items_sum)
+    items.append(last)
+    got = sharding.place(np.array(items, dtype=float), 8)
+    assert got.tolist() == plain_place(items, 8)
+
+
 def test_shards_of_few_rows_and_none(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in sharding.shard_rows(docs).collect()) == [1, 2]
@@ -407,6 +449,47 @@ def test_perplexity_equals_a_plain_model(spark):
     assert Counter(str(r.doc_id) for r in good.collect()) == Counter(str(r.doc_id) for r in found if r.kept)
 
 
+def test_blocks_are_cut_by_bytes(spark):
+    """Null and repeated ids, and a range of long texts, are spread; others stay ranges."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, "x" * 10) for i in range(200)] + [(1000 + i, f"{i}" + "y" * 2000) for i in range(50)]
+    rows += [(None, f"none {i} " + "z" * 500) for i in range(200)] + [(7777, f"same {i} " + "z" * 500) for i in range(200)]
+    rows += [(None, None), (5, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for most in (1000, -1):
+        found = common.in_blocks(docs, 100, 10_000, most)
+        assert found.columns == ["block", *docs.columns]
+        assert Counter(map(tuple, found.drop("block").collect())) == Counter(rows)
+        size = Counter()
+        for r in found.collect():
+            size[r.block] += len(r.text or "")
+        assert max(size.values()) < 30_000 and size[0] == 1000 and size[1] == 1000
+    # Text ids, and numbers with a fraction, are dealt by hash.
+    for kind in ("string", "double", "decimal(20,2)"):
+        other = docs.withColumn("doc_id", F.col("doc_id").cast(kind))
+        found = common.in_blocks(other, 100, 10_000, 1000)
+        assert Counter(str(r.text) for r in found.collect()) == Counter(str(t) for _, t in rows)
+        assert found.groupBy("block").agg(F.sum(F.length("text")).alias("n")).agg(F.max("n")).first()[0] < 60_000
+    assert common.in_blocks(docs.limit(0), 100, 10_000, 1000).count() == 0
+
+
+def test_cut_blocks_give_the_same_scores(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+
+    def rows():
+        return {r.doc_id: (r.perplexity, r.threshold, r.kept) for r in quality_lm.judged(docs, labels).collect()}
+
+    whole = rows()
+    monkeypatch.setattr(quality_lm, "BLOCK_BYTES", 50_000)
+    cut = rows()
+    assert whole.keys() == cut.keys()
+    for i, (p, t, kept) in whole.items():
+        assert math.isclose(p, cut[i][0], rel_tol=1e-9) and math.isclose(t, cut[i][1], rel_tol=1e-9)
+        assert kept == cut[i][2]
+
+
 def test_share_of_poor_documents_rejected(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
