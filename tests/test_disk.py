@@ -59,7 +59,7 @@ def test_rounds_deal_out_every_row_once(spark, folder, in_rounds):
     assert left(folder) == set()
 
 
-@pytest.mark.parametrize("name", ["ex_order_s"])
+@pytest.mark.parametrize("name", ["ex_order", "ex_order_s"])
 def test_orders_keep_one_table_and_do_not_depend_on_rounds(spark, folder, monkeypatch, name):
     plain = rows_of(queries.all_queries()[name](spark, SF))
     monkeypatch.setattr(scratch, "ROUND_BYTES", 0)
