@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgertalk.config import Recipe
-from ledgertalk.operators import orders
+from ledgertalk.operators import catalog, orders
 from ledgertalk.plans import queries
 from ledgertalk.sources import scratch
 
@@ -78,3 +78,22 @@ def test_only_large_orders_are_dealt_into_parts(spark, monkeypatch, lines_of):
     monkeypatch.setattr(orders, "ORDER_GROUPS", 1 << 10)
     dealt = orders.order_base(lines, Recipe())
     assert rows_of(dealt) == rows_of(most) and len(rows_of(most)) == 3
+
+
+@pytest.mark.parametrize("name", ["top_recs_s"])
+def test_recommendations_keep_one_table_and_do_not_depend_on_rounds(spark, folder, monkeypatch, name):
+    plain = rows_of(queries.all_queries()[name](spark, SF))
+    monkeypatch.setattr(scratch, "ROUND_BYTES", 0)
+    found = queries.all_queries()[name](spark, SF)
+    assert rows_of(found) == plain
+    assert not {"wanted", "bought", "baskets"} & left(folder)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_name_numbers_are_in_the_order_of_names(spark, folder):
+    rows = [(f"P{i}", f"NAME {i * 37 % 101} £") for i in range(300)]
+    names = spark.createDataFrame(rows, "StockCode string, ProductName string").repartition(7)
+    found = sorted((r.name_id, r.ProductName) for r in catalog.name_ids(names).collect())
+    texts = [text for _, text in found]
+    assert texts == sorted(texts) and len({n for n, _ in found}) == len(set(texts)) == 101
