@@ -80,7 +80,7 @@ def test_only_large_orders_are_dealt_into_parts(spark, monkeypatch, lines_of):
     assert rows_of(dealt) == rows_of(most) and len(rows_of(most)) == 3
 
 
-@pytest.mark.parametrize("name", ["top_recs_s"])
+@pytest.mark.parametrize("name", ["top_recs", "top_recs_s"])
 def test_recommendations_keep_one_table_and_do_not_depend_on_rounds(spark, folder, monkeypatch, name):
     plain = rows_of(queries.all_queries()[name](spark, SF))
     monkeypatch.setattr(scratch, "ROUND_BYTES", 0)
