@@ -65,7 +65,7 @@ def test_orders_keep_one_table_and_do_not_depend_on_rounds(spark, folder, monkey
     monkeypatch.setattr(scratch, "ROUND_BYTES", 0)
     found = queries.all_queries()[name](spark, SF)
     assert rows_of(found) == plain
-    assert not {"wanted", "bought", "whole_orders", "names"} & left(folder)
+    assert not {"wanted", "bought", "names"} & left(folder)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Aggregate" not in plan
 
@@ -97,3 +97,9 @@ def test_name_numbers_are_in_the_order_of_names(spark, folder):
     found = sorted((r.name_id, r.ProductName) for r in catalog.name_ids(names).collect())
     texts = [text for _, text in found]
     assert texts == sorted(texts) and len({n for n, _ in found}) == len(set(texts)) == 101
+
+
+def test_pairs_are_not_shuffled_for_their_names(spark, folder, in_rounds):
+    plan = queries.all_queries()["directed_pairs"](spark, SF)._jdf.queryExecution()
+    assert "Exchange" not in plan.executedPlan().toString()
+    assert not {"wanted", "bought", "baskets"} & left(folder)
