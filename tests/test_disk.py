@@ -6,9 +6,11 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from check import compare, connect
 from ledgertalk.config import Recipe
 from ledgertalk.operators import catalog, orders
 from ledgertalk.plans import queries
+from ledgertalk.plans.oracle import all_sql
 from ledgertalk.sources import scratch
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +105,10 @@ def test_pairs_are_not_shuffled_for_their_names(spark, folder, in_rounds):
     plan = queries.all_queries()["directed_pairs"](spark, SF)._jdf.queryExecution()
     assert "Exchange" not in plan.executedPlan().toString()
     assert not {"wanted", "bought", "baskets"} & left(folder)
+
+
+@pytest.mark.parametrize("name", ["built_split_counts"])
+def test_builds_equal_sql_in_rounds_and_drop_their_sources(spark, folder, in_rounds, name):
+    ours, theirs, _ = compare(spark, connect(SF), SF, queries.all_queries()[name], all_sql()[name])
+    assert ours == theirs and ours[1]
+    assert not {"raw_csv", "txn", "purchases", "product_stats", "baskets"} & left(folder)
