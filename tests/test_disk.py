@@ -107,7 +107,7 @@ def test_pairs_are_not_shuffled_for_their_names(spark, folder, in_rounds):
     assert not {"wanted", "bought", "baskets"} & left(folder)
 
 
-@pytest.mark.parametrize("name", ["built_split_counts", "built_token_summary_s"])
+@pytest.mark.parametrize("name", ["built_split_counts", "built_token_summary_s", "built_jsonl_s"])
 def test_builds_equal_sql_in_rounds_and_drop_their_sources(spark, folder, in_rounds, name):
     ours, theirs, _ = compare(spark, connect(SF), SF, queries.all_queries()[name], all_sql()[name])
     assert ours == theirs and ours[1]
